@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontamination import op10_decontamination
 from .token_counts import op2_token_counts
 from .token_output import op1_token_records
+from .toxicity import op3_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
     "op2_token_counts": op2_token_counts,
+    "op3_toxicity": op3_toxicity,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import op10_decontamination
+from .simhash import op6_simhash
 from .token_counts import op2_token_counts
 from .token_output import op1_token_records
 from .toxicity import op3_toxicity
@@ -15,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
     "op2_token_counts": op2_token_counts,
     "op3_toxicity": op3_toxicity,
+    "op6_simhash": op6_simhash,
     "op10_decontamination": op10_decontamination,
 }
 

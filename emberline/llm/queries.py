@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import op10_decontamination
+from .mixing import ORACLE as MIXING_SQL
+from .mixing import op9_mixing
 from .simhash import op6_simhash
 from .token_counts import op2_token_counts
 from .token_output import op1_token_records
@@ -17,7 +19,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_toxicity": op3_toxicity,
     "op6_simhash": op6_simhash,
+    "op9_mixing": op9_mixing,
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_mixing": MIXING_SQL,
+}

@@ -15,6 +15,8 @@ and lost tasks leave no half-read data.
 
 from __future__ import annotations
 
+import json
+import re
 import struct
 import uuid
 import zlib
@@ -29,6 +31,8 @@ from .common import SPACES, discard, open_input, open_output, scratch
 
 MAGIC = b"EMBTOK1\0"
 _HEAD, _LEN, _CRC, _ID, _ENTRY = len(MAGIC) + 1, struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<Bq"), struct.Struct("<QQ")
+#: Letters (ASCII, or two-byte ones that are in lower case and have no shorter form), then marks that end a piece.
+_SIMPLE = re.compile(rb"((?:[A-Za-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)").fullmatch
 MANIFEST = "shard int, part int, path string, n_records long, n_tokens long, n_bytes long"
 
 
@@ -44,21 +48,57 @@ class ChunkEncoder:
     of a text are the ids of its chunks in order.  ``tests/llm`` holds this against the tokenizers library.
     """
 
-    def __init__(self, path: str, cap: int = 700_000):
+    def __init__(self, path: str, cap: int = 900_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.cap = Tokenizer.from_file(path), cap
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[bytes, bytes] = {}
-
-    def _learn(self, chunks: list[bytes]) -> None:
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, k in self.tokenizer.get_vocab().items() if suffix else ():
+            self.ends[k] = token.endswith(suffix)
+
+    def _whole(self, chunks: list[bytes]) -> dict[bytes, bytes]:
+        out = self.tokenizer.encode([x.decode("utf-8", "replace") for x in chunks], is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(out.ids, self.dtype).tobytes()
+        ends = (np.searchsorted(np.array(out.word_ids, np.int64), np.arange(1, len(chunks) + 1)) * self.dtype.itemsize).tolist()
+        return dict(zip(chunks, map(ids.__getitem__, map(slice, [0, *ends], ends))))
+
+    def _letters(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Words of letters alone, as one text: each is one piece, whose last token marks its end."""
+        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, self.dtype)
+        ends = ((np.flatnonzero(self.ends[ids]) + 1) * self.dtype.itemsize).tolist()
+        if len(ends) != len(words):
+            return self._whole(words)
+        data = ids.tobytes()
+        return dict(zip(words, map(data.__getitem__, map(slice, [0, *ends], ends))))
+
+    def _learn(self, chunks: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of chunks that are not known; a word with capitals or marks after it is made of the plain word's ids."""
         if len(self.known) > self.cap:
             self.known.clear()
-        if new := list(set(chunks).difference(self.known)):
-            out = self.tokenizer.encode([x.decode("utf-8", "replace") for x in new], is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(out.ids, self.dtype).tobytes()
-            ends = (np.searchsorted(np.array(out.word_ids, np.int64), np.arange(1, len(new) + 1)) * self.dtype.itemsize).tolist()
-            self.known.update(zip(new, map(ids.__getitem__, map(slice, [0, *ends], ends))))
+        known, made, plain, other = self.known, [], set(), []
+        simple = _SIMPLE if self.ends.any() else lambda c: None
+        for c in chunks:
+            if m := simple(c):
+                word, marks = m[1].lower(), m[2]
+                plain.add(word)
+                if marks:
+                    other.append(marks)
+                if word != c:
+                    made.append((c, word, marks))
+            else:
+                other.append(c)
+        plain = plain.difference(known)
+        out = self._letters(list(plain)) if plain else {}
+        rest = list(set(other).difference(known))
+        if rest:
+            out |= self._whole(rest)
+        known.update(out)
+        for c, word, marks in made:
+            out[c] = known[c] = known[word] + known[marks] if marks else known[word]
+        return known
 
     def encode_many(self, texts: list[bytes], step: int = 1 << 21) -> list[bytes]:
         """Ids of each text as bytes of ``dtype``; longer texts are taken in pieces that end at a space."""
@@ -82,8 +122,17 @@ class ChunkEncoder:
                 at = end
             return [b"".join(parts)]
         split = [x.split() for x in texts]
-        self._learn([c for x in split for c in x])
-        return [b"".join(map(self.known.__getitem__, x)) for x in split]
+        chunks = [c for x in split for c in x]
+        ids = list(map(self.known.get, chunks))
+        if missing := [i for i, x in enumerate(ids) if x is None]:
+            known = self._learn({chunks[i] for i in missing})
+            for i in missing:
+                ids[i] = known[chunks[i]]
+        out, at = [], 0
+        for x in split:
+            out.append(b"".join(ids[at : at + len(x)]))
+            at += len(x)
+        return out
 
 
 _encoders: dict[str, ChunkEncoder] = {}
@@ -216,7 +265,7 @@ def read_token_digests(manifest: DataFrame) -> DataFrame:
                         rows = []
                 yield _digests(rows)
 
-    return shards.repartition(F.col("path")).mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long, shard int, part int, record long")
+    return shards.repartition(max(1, manifest.count()), "path").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long, shard int, part int, record long")
 
 
 def _digests(rows: list[tuple]) -> pa.RecordBatch:

@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import op10_decontamination
+from .line_labels import op5_line_labels
 from .mixing import ORACLE as MIXING_SQL
 from .mixing import op9_mixing
+from .rule_quality import op4_rule_quality
 from .simhash import op6_simhash
 from .token_counts import op2_token_counts
 from .token_output import op1_token_records
@@ -18,6 +20,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_records": op1_token_records,
     "op2_token_counts": op2_token_counts,
     "op3_toxicity": op3_toxicity,
+    "op4_rule_quality": op4_rule_quality,
+    "op5_line_labels": op5_line_labels,
     "op6_simhash": op6_simhash,
     "op9_mixing": op9_mixing,
     "op10_decontamination": op10_decontamination,

@@ -12,6 +12,8 @@ from .mixing import ORACLE as MIXING_SQL
 from .mixing import op9_mixing
 from .rule_quality import op4_rule_quality
 from .simhash import op6_simhash
+from .site_lines import ORACLE as SITE_LINES_SQL
+from .site_lines import op7_site_lines
 from .token_counts import op2_token_counts
 from .token_output import op1_token_records
 from .toxicity import op3_toxicity
@@ -23,10 +25,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_rule_quality": op4_rule_quality,
     "op5_line_labels": op5_line_labels,
     "op6_simhash": op6_simhash,
+    "op7_site_lines": op7_site_lines,
     "op9_mixing": op9_mixing,
     "op10_decontamination": op10_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op7_site_lines": SITE_LINES_SQL,
     "op9_mixing": MIXING_SQL,
 }

@@ -10,6 +10,7 @@ from .decontamination import op10_decontamination
 from .line_labels import op5_line_labels
 from .mixing import ORACLE as MIXING_SQL
 from .mixing import op9_mixing
+from .passages import op8_passages
 from .rule_quality import op4_rule_quality
 from .simhash import op6_simhash
 from .site_lines import ORACLE as SITE_LINES_SQL
@@ -26,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_line_labels": op5_line_labels,
     "op6_simhash": op6_simhash,
     "op7_site_lines": op7_site_lines,
+    "op8_passages": op8_passages,
     "op9_mixing": op9_mixing,
     "op10_decontamination": op10_decontamination,
 }

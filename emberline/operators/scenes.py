@@ -90,31 +90,33 @@ def widen(box: Box, least: float = 1e-6) -> Box:
 def disjoint(boxes: Sequence[Box]) -> list[Box]:
     """Boxes of areas merged until none meet: what a catalogue is asked for.  A list of areas, on the driver."""
     out: list[Box] = []
-    for box in boxes:
-        w, s, e, n = box
+    for w, s, e, n in boxes:
         while hit := next((b for b in out if w <= b[2] and b[0] <= e and s <= b[3] and b[1] <= n), None):
             out.remove(hit)
             w, s, e, n = min(w, hit[0]), min(s, hit[1]), max(e, hit[2]), max(n, hit[3])
         out.append((w, s, e, n))
-    return sorted(out)
+    return out
 
 
 def split_window(start: str, end: str, parts: int) -> list[tuple[str, str]]:
-    """``parts`` gapless spans of whole days that cover the window, ends included; fewer if it has fewer days."""
-    a, b = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
-    days = (b - a).days + 1
-    parts = max(1, min(parts, days))
-    edges = [a + dt.timedelta(days * k // parts) for k in range(parts + 1)]
-    return [(x.isoformat(), (y - dt.timedelta(1)).isoformat()) for x, y in zip(edges, edges[1:])]
+    """``parts`` gapless spans of days that cover the window, ends included; the window itself if it is too short or unreadable."""
+    try:
+        first, days = dt.date.fromisoformat(start), (dt.date.fromisoformat(end) - dt.date.fromisoformat(start)).days
+    except ValueError:
+        return [(start, end)]
+    if parts <= 1 or days < parts:
+        return [(start, end)]
+    edge = lambda k: first + dt.timedelta(days * k // parts)
+    return [((edge(k) + dt.timedelta(k > 0)).isoformat(), edge(k + 1).isoformat()) for k in range(parts)]
 
 
 def split_window_rows(windows: DataFrame, parts: int) -> DataFrame:
-    """(..., part, from, to): the same spans as rows, for a table of windows start, end."""
-    days = F.datediff("end", "start") + 1
-    n = F.greatest(F.lit(1), F.least(F.lit(parts), days))
+    """The columns of ``windows`` (with dates start, end) and part, from, to: the same spans as rows."""
+    days = F.datediff("end", "start")
+    n = F.when(days < parts, 1).otherwise(parts)
     rows = windows.withColumn("part", F.explode(F.sequence(F.lit(0), n - 1)))
-    at = lambda k: F.date_add("start", F.floor(days * k / n).cast("int"))
-    return rows.withColumn("from", at(F.col("part"))).withColumn("to", F.date_sub(at(F.col("part") + 1), 1))
+    edge = lambda k: F.date_add("start", F.floor(days * k / n).cast("int"))
+    return rows.withColumn("from", F.date_add(edge(F.col("part")), F.when(F.col("part") > 0, 1).otherwise(0))).withColumn("to", edge(F.col("part") + 1))
 
 
 def default_window(today: dt.date | None = None, days: int = 183) -> tuple[str, str]:
@@ -185,16 +187,22 @@ def choose_background(candidates: DataFrame, strict: float = 95.0, loose: float
     return near.groupBy("target_id").agg(F.min_by("background_id", F.struct("dissimilarity", "gap_s", "background_id")).alias("background_id"))
 
 
-def wind_at(points: DataFrame, grid: DataFrame, step_lon: float, step_lat: float) -> DataFrame:
-    """Points (id, hour, lon, lat) with the wind u, v of a grid (hour, ix, iy, u, v), bilinear between four cells.
+def wind_at(points: DataFrame, grid: DataFrame, origin: tuple[float, float], step: tuple[float, float], shape: tuple[int, int]) -> DataFrame:
+    """(id, u, v): the wind of a grid (hour, ix, iy, u, v) at points (id, hour, lon, lat), bilinear between four cells.
 
-    Each point asks for its four corners and meets them in one join on (hour, ix, iy); a point with a missing corner
-    has no wind.
+    ``origin`` is the centre of cell (0, 0), ``step`` the pitch, ``shape`` the columns and rows; beyond the edge the
+    outermost cells hold.  Each point asks for its four corners and meets them in one join on (hour, ix, iy); a point
+    with a missing corner has no wind.
     """
-    x, y = F.col("lon") / step_lon, F.col("lat") / step_lat
+
+    def axis(name: str, k: int) -> tuple[Column, Column]:
+        at = (F.col(name) - origin[k]) / step[k]
+        low = F.greatest(F.lit(0), F.least(F.lit(shape[k] - 2), F.floor(at)))
+        return low, F.greatest(F.lit(0.0), F.least(F.lit(1.0), at - low))
+
+    (x0, fx), (y0, fy) = axis("lon", 0), axis("lat", 1)
     corner = F.explode(F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (0, 1) for b in (0, 1))))
-    p = points.withColumn("fx", x - F.floor(x)).withColumn("fy", y - F.floor(y)).withColumn("x0", F.floor(x)).withColumn("y0", F.floor(y)).withColumn("k", corner)
-    p = p.withColumn("ix", F.col("x0") + F.col("k.a")).withColumn("iy", F.col("y0") + F.col("k.b"))
+    p = points.withColumns({"fx": fx, "fy": fy, "x0": x0, "y0": y0}).withColumn("k", corner).withColumns({"ix": F.col("x0") + F.col("k.a"), "iy": F.col("y0") + F.col("k.b")})
     weight = F.when(F.col("k.a") == 1, F.col("fx")).otherwise(1 - F.col("fx")) * F.when(F.col("k.b") == 1, F.col("fy")).otherwise(1 - F.col("fy"))
     part = p.withColumn("w", weight).join(grid, ["hour", "ix", "iy"])
     return part.groupBy("id").agg(F.sum(F.col("w") * F.col("u")).alias("u"), F.sum(F.col("w") * F.col("v")).alias("v"), F.count("*").alias("n")).filter("n = 4").drop("n")

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from .plans import queries_rasters, queries_scenes, queries_sites
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+_ALL = (queries_sites, queries_scenes, queries_rasters)
+QUERIES = {name: f for part in _ALL for name, f in part.QUERIES.items()}
+ORACLE_SQL = {name: s for part in _ALL for name, s in part.ORACLE_SQL.items()}

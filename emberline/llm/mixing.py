@@ -80,7 +80,12 @@ def shard_draws(sources: DataFrame, shard_slots: int) -> DataFrame:
 
 
 def mixture_slots(draws: DataFrame) -> DataFrame:
-    """A row a slot of the mix: shard, number (of the source), slot (of the source), block.  Slots beyond MOST epochs are left out."""
+    """A row a slot of the mix: shard, number (of the source), slot (of the source), block.  Slots beyond MOST epochs are left out.
+
+    The draws are few rows that grow into many slots, so they are dealt over all tasks first, by a fixed number that
+    adaptive execution does not shrink to the size of the draws.
+    """
+    draws = draws.repartition(int(draws.sparkSession.conf.get("spark.sql.shuffle.partitions")), "number", "shard")
     last = F.least(F.col("first") + F.col("n"), MOST * F.col("n_blocks")) - 1
     slots = draws.filter(last >= F.col("first")).withColumn("slot", F.explode(F.sequence("first", last)))
     return slots.withColumn("block", permuted(F.col("number"), F.expr("slot div n_blocks"), F.col("slot") % F.col("n_blocks"), F.col("n_blocks"))).select("shard", "number", "slot", "block")
@@ -107,7 +112,7 @@ def mix(docs: DataFrame, block: int = 128, shard_slots: int = 4096) -> DataFrame
     end = F.col("start") + F.col("size")
     pieces = at.filter("size > 0").withColumn("block", F.explode(F.sequence(F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}"))))
     words = F.least(end, (F.col("block") + 1) * block) - F.greatest("start", F.col("block") * block)
-    taken = pieces.withColumn("words", words).join(counts, ["number", "block"], "left").groupBy("doc_id", "size", "source_size", "target", "number", "start").agg(F.sum(F.col("words") * F.coalesce("copies", F.lit(0))).cast("long").alias("taken"))
+    taken = pieces.withColumn("words", words).join(counts.hint("merge"), ["number", "block"], "left").groupBy("doc_id", "size", "source_size", "target", "number", "start").agg(F.sum(F.col("words") * F.coalesce("copies", F.lit(0))).cast("long").alias("taken"))
     columns = ["doc_id", "size", "source_size", "target"]
     return taken.select(*columns, "taken").union(at.filter("size = 0").select(*columns, F.lit(0).cast("long")))
 

@@ -78,7 +78,7 @@ def from_utm(east: Number, northing: Number, zone: Number, north: Column | bool)
 def epsg_of_tile(grid: Column) -> Column:
     """UTM EPSG code of an MGRS tile code, with or without ``MGRS-``: zone digits, then a band letter, from N on north."""
     bare = F.regexp_replace(grid, "^MGRS-", "")
-    band = F.regexp_extract(bare, "^[0-9]*(.)", 1)
+    band = F.regexp_extract(bare, "^[0-9]*([^0-9])", 1)
     zone = F.regexp_extract(bare, "^([0-9]*)", 1)
     return F.when((band == "") | (band >= "N"), 32600).otherwise(32700) + F.coalesce(zone.try_cast("int"), F.lit(0))
 
@@ -133,8 +133,9 @@ def plane_distance(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Co
 def angle_between(ax: Column, ay: Column, bx: Column, by: Column) -> Column:
     """Unsigned angle of two vectors in degrees; null if one has no length."""
     a, b = F.hypot(ax, ay), F.hypot(bx, by)
-    cosine = (ax * bx + ay * by) / F.when((a > 0) & (b > 0), a * b)
-    return F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))))
+    there = (a > 0) & (b > 0)
+    cosine = (ax * bx + ay * by) / F.when(there, a * b)
+    return F.when(there, F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine)))))
 
 
 def segment_distance(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:

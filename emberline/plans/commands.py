@@ -30,8 +30,8 @@ def gaps(expected: DataFrame, scanned: DataFrame) -> DataFrame:
 def verify(expected: DataFrame, scanned: DataFrame, errors: DataFrame) -> DataFrame:
     """One row: areas asked for, scanned, missing, and error rows."""
     e = expected.select("area").distinct().join(scanned.select("area", F.lit(1).alias("seen")).distinct(), "area", "left")
-    counts = e.agg(F.count("*").alias("expected"), F.count("seen").alias("scanned"), F.count_if(F.col("seen").isNull()).alias("gaps"))
-    return counts.join(errors.agg(F.count("*").alias("errors")))  # one row each
+    rows = e.select(F.lit(1).alias("asked"), "seen", F.lit(None).cast("int").alias("error")).unionAll(errors.select(F.lit(None), F.lit(None), F.lit(1)))
+    return rows.agg(F.count("asked").alias("expected"), F.count("seen").alias("scanned"), (F.count("asked") - F.count("seen")).alias("gaps"), F.count("error").alias("errors"))
 
 
 def coverage(published: DataFrame, features: DataFrame, start: str, end: str, scanned: str) -> DataFrame:

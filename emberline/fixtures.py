@@ -38,7 +38,7 @@ SELECT concat('t', cast(c_nationkey as string), ':', cast(cast(o_orderdate as da
   case when o_orderkey % 23 = 0 then 0e0 else o_totalprice/2e1 end as flux_kg_h, cast(o_custkey % 101 as double) as clear_percent,
   case when o_orderkey % 29 = 0 then null else cast(5 + (o_orderkey*7 + o_custkey) % 60 as double) end as sun_elevation, o_custkey % 5 = 0 as cross_orbit_bg,
   case when o_orderkey % 3 = 0 then null else (o_custkey % 80)/1e2 end as collinearity
-FROM {orders} join {customer} on o_custkey = c_custkey where o_orderkey % 40 = 7""",
+FROM {orders} join {customer} on o_custkey = c_custkey""",
 }
 #: Pixels of 8 x 8 rasters: the one view whose explode is spelled differently.
 PIXELS_SPARK = "SELECT vec_id, cast(floor(pos/8e0) AS int) AS r, cast(pos % 8 AS int) AS c, cast(v AS double) AS v FROM (SELECT vec_id, posexplode(embedding) AS (pos, v) FROM {embeddings})"

@@ -178,12 +178,15 @@ def scl_histogram(spark, sf):
     return h.select("vec_id", "valid", F.col("hist")[3].alias("n3"), F.col("hist")[8].alias("n8"), F.round(A.cloud_fraction(F.col("hist"), F.col("valid")), 6).alias("cloud"))
 
 
-@query(f"""WITH p AS ({_CLASS}), s AS (SELECT vec_id AS site, vec_id % 8 AS sr, vec_id % 5 AS sc FROM (SELECT DISTINCT vec_id FROM fx_pixels)), m AS (SELECT r, c, scl FROM p WHERE vec_id = 0)
+@query(f"""WITH p AS ({_CLASS}), s AS (SELECT vec_id AS site, vec_id // 25 * 8 + vec_id % 8 AS sr, vec_id % 25 * 8 + vec_id % 5 AS sc FROM (SELECT DISTINCT vec_id FROM fx_pixels)), m AS (SELECT vec_id // 25 * 8 + r AS r, vec_id % 25 * 8 + c AS c, scl FROM p)
 SELECT site, count(CASE WHEN scl <> 0 THEN 1 END) AS valid, count(CASE WHEN scl = 2 THEN 1 END) AS n2 FROM s JOIN m ON r BETWEEN sr - 2 AND sr + 2 AND c BETWEEN sc - 2 AND sc + 2 GROUP BY site HAVING count(CASE WHEN scl <> 0 THEN 1 END) > 0""")
 def scl_window_sample(spark, sf):
-    p = _classes(spark, sf)
-    sites = table(spark, sf, "embeddings").select(F.col("vec_id").alias("site"), (F.col("vec_id") % 8).alias("r"), (F.col("vec_id") % 5).alias("c"))
-    return A.sample_mask(sites, p.filter("vec_id = 0").select("r", "c", "scl")).select("site", "valid", F.col("hist")[2].alias("n2"))
+    """Sites in a mosaic of all rasters, 25 to a row."""
+    k = F.col("vec_id")
+    top, left = F.floor(k / 25) * 8, k % 25 * 8
+    mosaic = _classes(spark, sf).select((top + F.col("r")).alias("r"), (left + F.col("c")).alias("c"), "scl")
+    sites = table(spark, sf, "embeddings").select(k.alias("site"), (top + k % 8).alias("r"), (left + k % 5).alias("c"))
+    return A.sample_mask(sites, mosaic).select("site", "valid", F.col("hist")[2].alias("n2"))
 
 
 @query("SELECT a.vec_id, a.r, a.c, round(avg(CASE WHEN b.v > 0.1e0 THEN 1e0 ELSE 0e0 END), 6) AS share FROM fx_pixels a JOIN fx_pixels b ON a.vec_id = b.vec_id AND b.r BETWEEN a.r - 2 AND a.r + 2 AND b.c BETWEEN a.c - 2 AND a.c + 2 GROUP BY a.vec_id, a.r, a.c")
@@ -302,14 +305,14 @@ def _segments(spark) -> DataFrame:
     return spark.range(5).select(F.col("id").alias("segment"), (F.col("id") * 7.0).alias("ax"), F.lit(0.0).alias("ay"), (F.col("id") * 7.0 + 3).alias("bx"), (12.0 + F.col("id")).alias("by"))
 
 
-@query(f"""WITH s AS ({_SEG}), p AS (SELECT vec_id, r, c, c*4e0 AS x, r*3e0 AS y FROM fx_pixels WHERE vec_id < 50),
+@query(f"""WITH s AS ({_SEG}), p AS (SELECT vec_id, r, c, c*4e0 AS x, r*3e0 AS y FROM fx_pixels),
 d AS (SELECT *, greatest(0e0, least(1e0, ((x - ax)*(bx - ax) + (y - ay)*(by_ - ay))/((bx - ax)*(bx - ax) + (by_ - ay)*(by_ - ay)))) AS t FROM p, s)
 SELECT vec_id, r, c, round(min({_DIST}), 6) AS distance FROM d GROUP BY vec_id, r, c""")
 def segment_distance(spark, sf):
     """Distance of each pixel to the nearest of a handful of lines, through the cells around its raster."""
     from ..functions import geo
 
-    p = _pixels(spark, sf).filter("vec_id < 50").select("vec_id", "r", "c", (F.col("c") * 4.0).alias("x"), (F.col("r") * 3.0).alias("y"))
+    p = _pixels(spark, sf).select("vec_id", "r", "c", (F.col("c") * 4.0).alias("x"), (F.col("r") * 3.0).alias("y"))
     box = p.groupBy("vec_id").agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
     near = R.near_segments(box, _segments(spark), "vec_id")
     d = geo.segment_distance(F.col("x"), F.col("y"), F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"))

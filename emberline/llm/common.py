@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from ..storage import discard, saved, scratch, shared_root
+
 #: ASCII white space that separates words in every contract of this package.
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -15,32 +14,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a temporary one only where it is unset."""
-    sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="emberline-")
-        sc.setCheckpointDir(root)
-    return root.rstrip("/")
-
+def small_batches(df: DataFrame, most: int = 1000) -> DataFrame:
+    """``df``, whose session hands Python at most ``most`` rows at a time from here on: whole texts are large rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(df.sparkSession.conf.get(name)) > most:
+        df.sparkSession.conf.set(name, most)
+    return df
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
+_slot: dict = {}
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: cuts lineage and outlives executors."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
 
+def in_worker(key, make):
+    """What ``make`` makes, kept in this Python worker for later tasks until another key is asked for.
 
-def discard(spark: SparkSession, path: str) -> None:
-    """Removes a scratch path that no later step reads."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    One slot: a worker that runs one stage after another holds the tables of the stage at hand alone.
+    """
+    if key not in _slot:
+        _slot.clear()
+        _slot[key] = make()
+    return _slot[key]
 
 
 def _store(path: str):
@@ -64,3 +57,6 @@ def open_input(path: str):
     """A seekable binary file at ``path``."""
     store, where = _store(path)
     return store.open_input_file(where)
+
+
+__all__ = ["SPACES", "discard", "in_worker", "open_input", "open_output", "saved", "scratch", "shared_root", "small_batches", "table"]

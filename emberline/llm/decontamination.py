@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import open_input, open_output, scratch, table
+from .common import in_worker, open_input, open_output, scratch, small_batches, table
 
 WINDOW, K, W = 10, 5, 6
 #: A-Z become a-z; of the ASCII characters only 0-9 and a-z belong to words, of the others all.
@@ -42,12 +42,16 @@ class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 700_000:
+        if len(self) > 300_000:
             self.clear()
         out = self[word] = xxhash.xxh64_intdigest(word)
         return out
 
 
+def hash_words(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(in_worker("hashes", _Hashes).__getitem__, words), np.uint64, len(words))
+
+
 def grams(hashes: np.ndarray, k: int) -> np.ndarray:
     """Hash of each k consecutive word hashes; empty if there are fewer."""
     n = len(hashes) - k + 1
@@ -173,15 +177,12 @@ def _block(path: str) -> Block:
     return _held[path]
 
 
-_hashes = _Hashes()
-
-
 def leaks(texts: list[str | None], paths: list[str]) -> list[tuple[int, int, list[str], list[int]]]:
     """n_words, n_hit, sorted item ids and the hit words' numbers of each text."""
     split = [words_of(t) for t in texts]
     words = [x for part in split for x in part]
     bounds = np.concatenate([[0], np.cumsum([len(x) for x in split])]).astype(np.int64)
-    hashes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    hashes = hash_words(words)
     hit, found = np.zeros(len(words), bool), {}
     for path in paths:
         _block(path).match(words, hashes, bounds, hit, found)
@@ -200,7 +201,7 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, step: int = 1 << 20) -> Da
     items that share an id are listed once.  Repeated rows each get their answer; a column named ``leak`` is
     replaced; empty tables on either side give no hits.
     """
-    paths = write_blocks(benchmark, scratch(docs.sparkSession, "benchmark-blocks"))
+    paths = write_blocks(benchmark, scratch(small_batches(docs).sparkSession, "benchmark-blocks"))
 
     @F.pandas_udf(LEAK)
     def leak(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -245,3 +246,20 @@ def brute_force(texts: list[str | None], items: list[tuple[str, str | None]]) ->
                     ids |= x
         out.append((len(w), len(hit), len(ids), hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()))
     return out
+
+
+_SQL_WORDS = r"coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
+ORACLE = f"""
+with d as (select row_number() over () as r, doc_id, {_SQL_WORDS} as words from documents),
+i as (select item_id, {_SQL_WORDS} as words from benchmark),
+w as (select item_id, n, array_to_string(list_slice(words, s, s + n - 1), ' ') as gram
+  from (select item_id, words, least(10, len(words)) as n, unnest(range(1, len(words) - least(10, len(words)) + 2)) as s from i where len(words) > 0)),
+lengths as (select distinct n from w),
+g as (select r, n, s, array_to_string(list_slice(words, s, s + n - 1), ' ') as gram
+  from (select r, n, words, unnest(range(1, len(words) - n + 2)) as s from d, lengths where len(words) >= n)),
+m as (select distinct r, s, n, item_id from g join w using (n, gram)),
+hits as (select r, count(distinct p) as n_hit from (select r, unnest(range(s, s + n)) as p from m) group by r),
+items as (select r, count(*) as n_items, string_agg(item_id, ',' order by item_id) as ids from (select distinct r, cast(item_id as varchar) as item_id from m) group by r)
+select doc_id, len(words) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join hits using (r) left join items using (r)
+"""

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import small_batches, table
 
 _SPACE, _SYMBOLS, _DIGITS = b" \t\n\x0b\x0c\r", b"#*$%&|<>", b"0123456789"
 #: Words that mark legal and navigation lines.
@@ -227,7 +227,7 @@ def label_lines(docs: DataFrame, field: LineField, least_share: float = 0.5) ->
             kinds = (pa.int64(),) * 6 + (pa.bool_(),) + (pa.int64(),) * 3 + (pa.list_(pa.int8()), pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=[x.split()[0] for x in LABELLED.split(", ")])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, LABELLED)
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, LABELLED)
 
 
 LABELLED = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, content_words long, n_lines long, n_content_lines long, labels array<tinyint>, kept boolean"

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontamination import ORACLE as DECONTAMINATION_SQL
 from .decontamination import op10_decontamination
 from .line_labels import op5_line_labels
 from .mixing import ORACLE as MIXING_SQL
@@ -35,4 +36,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op7_site_lines": SITE_LINES_SQL,
     "op9_mixing": MIXING_SQL,
+    "op10_decontamination": DECONTAMINATION_SQL,
 }

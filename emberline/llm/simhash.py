@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, table
-from .components import components
+from ..operators.graph import components
+from .common import saved, small_batches, table
 
 MOST, FANOUT = 4, 16
 #: Bits of the 7 blocks: six of 9 and one of 10.
@@ -54,7 +54,7 @@ def with_fingerprints(docs: DataFrame) -> DataFrame:
             prints = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints)], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
 def gray_rank(c: Column) -> Column:

@@ -9,7 +9,6 @@ the text are sums; they are stored as one signed byte per code point, the change
 
 from __future__ import annotations
 
-import functools
 import json
 from collections.abc import Iterator
 
@@ -18,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import in_worker, small_batches, table
 
 #: How the byte-level vocabulary file spells bytes (printable bytes as themselves, the rest from U+0100 on).
 _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -116,11 +115,37 @@ class PrefixCounter:
                 raise ValueError(f"the vocabulary can't spell {p!r}")
         return found
 
+    def _long(self, p: bytes) -> bytes:
+        """Changes in a piece that is too long to keep the states of its prefixes by their bytes: the same pass over places."""
+        order, joins, longest = self.order, self.joins, self.longest
+        counts, lasts, marks, whole = [0], [-1], bytearray(), 0
+        for i in range(1, len(p) + 1):
+            for n in range(min(i, longest.get(p[i - 2 if i > 1 else 0 : i], 1)), 0, -1):
+                t = order.get(p[i - n : i])
+                if t is not None:
+                    last = lasts[i - n]
+                    ok = joins.get((last, t))
+                    if ok is None:
+                        ok = joins[last, t] = self._joins(last, t)
+                    if ok:
+                        counts.append(counts[i - n] + 1)
+                        lasts.append(t)
+                        break
+            else:
+                raise ValueError(f"the vocabulary can't spell {p[:i]!r}")
+            if i == len(p) or p[i] & 0xC0 != 0x80:
+                marks.append((counts[i] - whole) & 255)
+                whole = counts[i]
+        return bytes(marks)
+
     def _piece(self, piece: str) -> bytes:
         """Changes in one piece; the suffixes after an apostrophe are cut apart until they are whole."""
+        data = piece.encode()
+        if len(data) > 64:
+            return self._long(data)
         if piece in ("'re", "'ve", "'ll"):
-            return bytes((1, 1, (self.prefix(piece.encode())[0] - 2) & 255))
-        return self.prefix(piece.encode())[2]
+            return bytes((1, 1, (self.prefix(data)[0] - 2) & 255))
+        return self.prefix(data)[2]
 
     def _unit(self, unit: str, end: bool) -> bytes:
         """Changes at each code point of a unit; ``end``: nothing follows it.
@@ -134,8 +159,7 @@ class PrefixCounter:
         run = self._piece(unit[:space])
         if space == 1 or space == len(unit) and end:
             return run
-        before, last = self.prefix(unit[: space - 1].encode())[0], self.prefix(unit[space - 1 : space].encode())[0]
-        carry = before + last - self.prefix(unit[:space].encode())[0]
+        carry = self.prefix(unit[space - 1 : space].encode())[0] - (run[-1] - 256 * (run[-1] > 127))
         if space == len(unit):
             return run + bytes((carry & 255,))
         rest = self._piece(unit[space - 1 :])[1:]
@@ -166,6 +190,9 @@ class PrefixCounter:
         for u in set(units).difference(inner):
             inner[u] = self._unit(u, False)
         parts = list(map(inner.__getitem__, units))
+        if len(text) > 4096:
+            for u in [u for u in set(units) if len(u) > 64]:  # long ones are not worth their room
+                del inner[u]
         parts.append(self._unit(last, True))
         out = b"".join(parts)
         if len(out) != len(text):
@@ -187,12 +214,6 @@ class PrefixCounter:
         return b"".join(out)
 
 
-@functools.lru_cache(maxsize=2)
-def counter(path: str) -> PrefixCounter:
-    """One counter per Python worker and vocabulary: later tasks find its pieces known."""
-    return PrefixCounter(path)
-
-
 def prefix_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
     """doc_id, n_bytes, n_tokens, changes (binary: one signed byte per code point) for every row of ``docs``.
 
@@ -201,7 +222,7 @@ def prefix_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = counter(tokenizer)
+        c = in_worker(("prefixes", tokenizer), lambda: PrefixCounter(tokenizer))
         for batch in batches:
             for part in (batch.slice(k, 512) for k in range(0, batch.num_rows, 512)):
                 texts = [x or "" for x in part.column(1).to_pylist()]
@@ -210,7 +231,7 @@ def prefix_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
                 sizes = [len(x.encode()) for x in texts]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(sums, pa.int64()), pa.array(changes, pa.binary())], names=["doc_id", "n_bytes", "n_tokens", "changes"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(count, "doc_id long, n_bytes long, n_tokens long, changes binary")
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(count, "doc_id long, n_bytes long, n_tokens long, changes binary")
 
 
 def counts_at(changes: bytes) -> np.ndarray:

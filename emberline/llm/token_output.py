@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, discard, open_input, open_output, scratch
+from .common import SPACES, discard, in_worker, open_input, open_output, scratch, small_batches
 
 MAGIC = b"EMBTOK1\0"
 _HEAD, _LEN, _CRC, _ID, _ENTRY = len(MAGIC) + 1, struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<Bq"), struct.Struct("<QQ")
@@ -48,16 +48,18 @@ class ChunkEncoder:
     of a text are the ids of its chunks in order.  ``tests/llm`` holds this against the tokenizers library.
     """
 
-    def __init__(self, path: str, cap: int = 900_000):
+    def __init__(self, path: str, cap: int = 200_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.cap = Tokenizer.from_file(path), cap
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {}  # chunks that came again
+        self.recent: dict[bytes, bytes] = {}  # chunks that came once: most distinct ones never come again
         suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, k in self.tokenizer.get_vocab().items() if suffix else ():
             self.ends[k] = token.endswith(suffix)
+        self.marked = bool(self.ends.any())
 
     def _whole(self, chunks: list[bytes]) -> dict[bytes, bytes]:
         out = self.tokenizer.encode([x.decode("utf-8", "replace") for x in chunks], is_pretokenized=True, add_special_tokens=False)
@@ -76,10 +78,8 @@ class ChunkEncoder:
 
     def _learn(self, chunks: set[bytes]) -> dict[bytes, bytes]:
         """Ids of chunks that are not known; a word with capitals or marks after it is made of the plain word's ids."""
-        if len(self.known) > self.cap:
-            self.known.clear()
-        known, made, plain, other = self.known, [], set(), []
-        simple = _SIMPLE if self.ends.any() else lambda c: None
+        known, made, plain, other = self.recent, [], set(), []
+        simple = _SIMPLE if self.marked else lambda c: None
         for c in chunks:
             if m := simple(c):
                 word, marks = m[1].lower(), m[2]
@@ -125,9 +125,17 @@ class ChunkEncoder:
         chunks = [c for x in split for c in x]
         ids = list(map(self.known.get, chunks))
         if missing := [i for i, x in enumerate(ids) if x is None]:
-            known = self._learn({chunks[i] for i in missing})
+            if len(self.known) > self.cap:
+                self.known.clear()
+            if len(self.recent) > self.cap:
+                self.recent.clear()
+            wanted, recent = {chunks[i] for i in missing}, self.recent
+            again = wanted.intersection(recent)
+            self._learn(wanted - again)
             for i in missing:
-                ids[i] = known[chunks[i]]
+                ids[i] = recent[chunks[i]]
+            for c in again:
+                self.known[c] = recent.pop(c)
         out, at = [], 0
         for x in split:
             out.append(b"".join(ids[at : at + len(x)]))
@@ -135,16 +143,6 @@ class ChunkEncoder:
         return out
 
 
-_encoders: dict[str, ChunkEncoder] = {}
-
-
-def _encoder(path: str) -> ChunkEncoder:
-    """One encoder per Python worker, so that later tasks find its chunks known."""
-    if path not in _encoders:
-        _encoders[path] = ChunkEncoder(path)
-    return _encoders[path]
-
-
 class _Shard:
     def __init__(self, base: str, size: int):
         self.path = f"{base}-{uuid.uuid4().hex}"
@@ -175,7 +173,7 @@ def write_token_records(docs: DataFrame, path: str, tokenizer: str, end_id: int
     side; rows without an id come first.  An empty table gives an empty manifest.  Other columns are not read.
     ``tokenizer`` is a file that every node has.
     """
-    spark = docs.sparkSession
+    spark = small_batches(docs).sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = (rows.repartitionByRange(partitions, "doc_id") if partitions else rows.repartitionByRange("doc_id")).sortWithinPartitions("doc_id")
 
@@ -183,7 +181,7 @@ def write_token_records(docs: DataFrame, path: str, tokenizer: str, end_id: int
         from pyspark import TaskContext
 
         number, done, shard = TaskContext.get().partitionId(), [], None
-        encoder = _encoder(tokenizer)
+        encoder = in_worker(("chunks", tokenizer), lambda: ChunkEncoder(tokenizer))
         end = np.array([end_id], encoder.dtype).tobytes()
         for batch in batches:
             ids = batch.column(0).to_pylist()

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import in_worker, small_batches, table
 
 #: Margins in bytes that windows are counted at.
 LEVELS = (1, 2, 3, 4, 5, 6)
@@ -45,7 +45,7 @@ class ToxicityModel:
 class _Margins(dict):
     """Margin of a chunk of text, found once per chunk."""
 
-    def __init__(self, model: ToxicityModel, cap: int = 700_000):
+    def __init__(self, model: ToxicityModel, cap: int = 300_000):
         super().__init__()
         import zstandard
 
@@ -175,30 +175,18 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     Null and empty texts have no evidence and get the score of none.  Row count, order of columns and repeated rows
     stay; a column of the same name is replaced.  An empty table stays empty.
     """
-    spark = docs.sparkSession
+    spark = small_batches(docs).sparkSession
     shared = spark.sparkContext.broadcast(model)  # two dictionaries of fixed size and 11 numbers
 
     @F.pandas_udf("double")
     def toxicity(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scorer = _worker_scorer(shared.value)
+        scorer = in_worker(("toxicity", hash(shared.value)), shared.value.scorer)
         for batch in texts:
             yield pd.Series([scorer.score(t) if t else scorer.score("") for t in batch], dtype="float64")
 
     return docs.withColumn("toxicity", toxicity(F.col("text").cast("string")))
 
 
-_scorers: dict[int, Scorer] = {}
-
-
-def _worker_scorer(model: ToxicityModel) -> Scorer:
-    """One scorer per Python worker and model: later tasks find its windows known."""
-    key = hash(model)
-    if key not in _scorers:
-        _scorers.clear()
-        _scorers[key] = model.scorer()
-    return _scorers[key]
-
-
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = score_toxicity(docs.select("doc_id", "text"), fit_toxicity(docs, table(spark, sf_dir, "labels")))

@@ -15,6 +15,7 @@ and lost tasks leave no half-read data.
 
 from __future__ import annotations
 
+import codecs
 import json
 import re
 import struct
@@ -33,6 +34,9 @@ MAGIC = b"EMBTOK1\0"
 _HEAD, _LEN, _CRC, _ID, _ENTRY = len(MAGIC) + 1, struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<Bq"), struct.Struct("<QQ")
 #: Letters (ASCII, or two-byte ones that are in lower case and have no shorter form), then marks that end a piece.
 _SIMPLE = re.compile(rb"((?:[A-Za-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)").fullmatch
+#: How byte-level vocabularies spell each byte: printing ones as themselves, the others as U+0100 and on, in order; a space parts words.
+_HIDDEN = [*range(0x21), *range(0x7F, 0xA1), 0xAD]
+_SPELL = "".join(" " if b == 0x20 else chr(0x100 + _HIDDEN.index(b)) if b in _HIDDEN else chr(b) for b in range(256))
 MANIFEST = "shard int, part int, path string, n_records long, n_tokens long, n_bytes long"
 
 
@@ -48,18 +52,24 @@ class ChunkEncoder:
     of a text are the ids of its chunks in order.  ``tests/llm`` holds this against the tokenizers library.
     """
 
-    def __init__(self, path: str, cap: int = 200_000):
-        from tokenizers import Tokenizer
+    def __init__(self, path: str, cap: int = 250_000, longest: int = 8):
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer, self.cap = Tokenizer.from_file(path), cap
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[bytes, bytes] = {}  # chunks that came again
-        self.recent: dict[bytes, bytes] = {}  # chunks that came once: most distinct ones never come again
+        self.known: dict[bytes, bytes] = {}  # chunks of at most ``longest`` bytes: longer ones hardly ever come again
+        self.longest = longest
         suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, k in self.tokenizer.get_vocab().items() if suffix else ():
             self.ends[k] = token.endswith(suffix)
         self.marked = bool(self.ends.any())
+        # the merges alone, for plain words: no normalising or splitting by patterns; only if it gives the same
+        self.bare = Tokenizer(self.tokenizer.model)
+        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        trial = ["a", "the", "straße", "éàüß", "zwölf", "être", "rhythm"]
+        plain = lambda t, words: [list(t.encode(w, add_special_tokens=False).ids) for w in words]
+        self.spelled = plain(self.tokenizer, trial) == plain(self.bare, [codecs.charmap_decode(w.encode(), "strict", _SPELL)[0] for w in trial])
 
     def _whole(self, chunks: list[bytes]) -> dict[bytes, bytes]:
         out = self.tokenizer.encode([x.decode("utf-8", "replace") for x in chunks], is_pretokenized=True, add_special_tokens=False)
@@ -69,7 +79,11 @@ class ChunkEncoder:
 
     def _letters(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Words of letters alone, as one text: each is one piece, whose last token marks its end."""
-        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, self.dtype)
+        if not words:
+            return {}
+        text, tokenizer = b" ".join(words), self.bare if self.spelled else self.tokenizer
+        text = codecs.charmap_decode(text, "strict", _SPELL)[0] if self.spelled else text.decode()
+        ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
         ends = ((np.flatnonzero(self.ends[ids]) + 1) * self.dtype.itemsize).tolist()
         if len(ends) != len(words):
             return self._whole(words)
@@ -78,27 +92,34 @@ class ChunkEncoder:
 
     def _learn(self, chunks: set[bytes]) -> dict[bytes, bytes]:
         """Ids of chunks that are not known; a word with capitals or marks after it is made of the plain word's ids."""
-        known, made, plain, other = self.recent, [], set(), []
-        simple = _SIMPLE if self.marked else lambda c: None
+        known, made, plain, other = self.known, [], set(), set()
         for c in chunks:
-            if m := simple(c):
+            if self.marked and c.isalpha():  # ASCII letters alone
+                word = c.lower()
+                plain.add(word)
+                if word != c:
+                    made.append((c, word, b""))
+            elif self.marked and (m := _SIMPLE(c)):
                 word, marks = m[1].lower(), m[2]
                 plain.add(word)
                 if marks:
-                    other.append(marks)
+                    other.add(marks)
                 if word != c:
                     made.append((c, word, marks))
             else:
-                other.append(c)
-        plain = plain.difference(known)
-        out = self._letters(list(plain)) if plain else {}
-        rest = list(set(other).difference(known))
-        if rest:
+                other.add(c)
+        out = self._letters([w for w in plain if w not in known])
+        if rest := [c for c in other if c not in known]:
             out |= self._whole(rest)
-        known.update(out)
         for c, word, marks in made:
-            out[c] = known[c] = known[word] + known[marks] if marks else known[word]
-        return known
+            ids = out[word] if word in out else known[word]
+            if marks:
+                ids += out[marks] if marks in out else known[marks]
+            out[c] = ids
+        if len(known) > self.cap:
+            known.clear()
+        known.update((c, x) for c, x in out.items() if len(c) <= self.longest)
+        return out
 
     def encode_many(self, texts: list[bytes], step: int = 1 << 21) -> list[bytes]:
         """Ids of each text as bytes of ``dtype``; longer texts are taken in pieces that end at a space."""
@@ -125,17 +146,9 @@ class ChunkEncoder:
         chunks = [c for x in split for c in x]
         ids = list(map(self.known.get, chunks))
         if missing := [i for i, x in enumerate(ids) if x is None]:
-            if len(self.known) > self.cap:
-                self.known.clear()
-            if len(self.recent) > self.cap:
-                self.recent.clear()
-            wanted, recent = {chunks[i] for i in missing}, self.recent
-            again = wanted.intersection(recent)
-            self._learn(wanted - again)
+            learnt = self._learn({chunks[i] for i in missing})
             for i in missing:
-                ids[i] = recent[chunks[i]]
-            for c in again:
-                self.known[c] = recent.pop(c)
+                ids[i] = learnt[chunks[i]]
         out, at = [], 0
         for x in split:
             out.append(b"".join(ids[at : at + len(x)]))

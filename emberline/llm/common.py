@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..storage import discard, saved, scratch, shared_root
+from ..storage import discard, saved, saved_at, scratch, shared_root
 
 #: ASCII white space that separates words in every contract of this package.
 SPACES = " \t\n\x0b\x0c\r"
@@ -59,4 +59,4 @@ def open_input(path: str):
     return store.open_input_file(where)
 
 
-__all__ = ["SPACES", "discard", "in_worker", "open_input", "open_output", "saved", "scratch", "shared_root", "small_batches", "table"]
+__all__ = ["SPACES", "discard", "in_worker", "open_input", "open_output", "saved", "saved_at", "scratch", "shared_root", "small_batches", "table"]

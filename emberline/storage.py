@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a temporary folder only where it is unset."""
+    """``spark.checkpoint.dir``.  Where it is unset, a temporary folder serves a local session; on a cluster it is an error."""
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="emberline-")
         sc.setCheckpointDir(root)
     return root.rstrip("/")
@@ -25,9 +27,14 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again."""
+    return saved_at(df, name)[0]
+
+
+def saved_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``saved``, and the path, for a table that is discarded once nothing reads it."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def discard(spark: SparkSession, path: str) -> None:

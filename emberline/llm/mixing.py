@@ -37,10 +37,22 @@ def permuted(number: Column, epoch: Column, x: Column, n: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), x, turn)
 
 
+def row_key() -> Column:
+    """32 hexadecimal digits that a row's id, text and source have in common with no other row but its repeats."""
+    parts = [F.coalesce(F.md5(F.col(c).cast("string").cast("binary")), F.lit("null")) for c in ("doc_id", "text", "source")]
+    return F.md5(F.concat_ws(":", *parts).cast("binary"))
+
+
 def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, s, sn (source and whether it is null), size, h (order within the source), bucket, written once."""
-    h = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).cast("binary"))
-    out = docs.select("doc_id", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("s"), F.col("source").isNull().alias("sn"), F.coalesce(F.expr(SIZE), F.lit(0)).cast("long").alias("size"), h.alias("h"))
+    """doc_id, s, sn (source and whether it is null), size, h (order within the source), row_key, bucket, written once.
+
+    The order hashes the text too, so rows without an id, or of one id, are dealt over all buckets.
+    """
+    h = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))).cast("binary"))
+    out = docs.select(
+        "doc_id", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("s"), F.col("source").isNull().alias("sn"),
+        F.coalesce(F.expr(SIZE), F.lit(0)).cast("long").alias("size"), h.alias("h"), row_key().alias("row_key"),
+    )
     return saved(out.withColumn("bucket", F.conv(F.substring("h", 1, 3), 16, 10).cast("int")), "sized-documents")
 
 
@@ -63,20 +75,28 @@ def source_targets(buckets: DataFrame, block: int) -> DataFrame:
     return out.withColumn("slots", F.when(F.col("source_size") > 0, F.col("target") * F.col("n_blocks") / F.col("source_size")).otherwise(0.0)).drop("level")
 
 
-def shard_draws(sources: DataFrame, shard_slots: int) -> DataFrame:
-    """A row a source and output shard: number, n_blocks, shard, first (slot of the source), n (slots drawn)."""
-    every = Window.partitionBy()
+def shard_draws(sources: DataFrame, shard_slots: int, run: int = 1024) -> DataFrame:
+    """A row a source and output shard: number, n_blocks, shard, first (slot of the source), n (slots drawn).
+
+    Shards are dealt in runs of ``run``: no task holds more than a run of shards, however many there are, and a source's
+    first slot of a run comes from a running sum over runs.
+    """
+    every, parts = Window.partitionBy(), int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     all_ = sources.withColumn("sum", F.sum("slots").over(every)).withColumn("n_slots", F.round("sum").cast("long")).filter("n_slots > 0")
-    shards = all_.withColumn("n_shards", F.ceil(F.col("n_slots") / shard_slots)).withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_shards") - 1)))
+    runs = all_.withColumn("n_shards", F.ceil(F.col("n_slots") / shard_slots)).withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n_shards - 1) div {run}")))).repartition(parts, "run")
+    shards = runs.withColumn("shard", F.explode(F.sequence(F.col("run") * run, F.least(F.col("n_shards"), (F.col("run") + 1) * run) - 1)))
     size = F.expr("(n_slots * (shard + 1)) div n_shards - (n_slots * shard) div n_shards")
     part = shards.withColumn("size", size).withColumn("x", F.col("slots") / F.col("sum") * F.col("size")).withColumn("whole", F.floor("x"))
-    own = Window.partitionBy("shard")
+    own = Window.partitionBy("run", "shard")
     part = part.withColumn("left", F.col("size") - F.sum("whole").over(own)).withColumn("low", F.coalesce(F.sum(F.col("x") - F.col("whole")).over(own.orderBy("number").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
     part = part.withColumn("high", F.coalesce(F.lead("low").over(own.orderBy("number")), F.lit(1e18)))
     point = lambda r: hashed(F.lit("draw"), F.col("shard"), r) / F.lit(2.0**52) * F.col("left")
     hits = F.filter(F.when(F.col("left") > 0, F.sequence(F.lit(1).cast("long"), F.col("left"))).otherwise(F.array().cast("array<bigint>")), lambda r: (point(r) >= F.col("low")) & (point(r) < F.col("high")))
-    drawn = part.withColumn("n", F.col("whole") + F.size(hits))
-    return drawn.withColumn("first", F.coalesce(F.sum("n").over(Window.partitionBy("number").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("number", "n_blocks", "shard", "first", "n")
+    drawn = saved(part.select("number", "n_blocks", "run", "shard", (F.col("whole") + F.size(hits)).alias("n")), "draws")
+    before = lambda by, at: F.coalesce(F.sum("n").over(Window.partitionBy(*by).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bases = drawn.groupBy("number", "run").agg(F.sum("n").alias("n")).select("number", "run", before(["number"], "run").alias("base"))
+    placed = drawn.withColumn("within", before(["number", "run"], "shard")).join(bases, ["number", "run"])
+    return placed.select("number", "n_blocks", "shard", (F.col("base") + F.col("within")).alias("first"), "n")
 
 
 def mixture_slots(draws: DataFrame) -> DataFrame:
@@ -91,13 +111,14 @@ def mixture_slots(draws: DataFrame) -> DataFrame:
     return slots.withColumn("block", permuted(F.col("number"), F.expr("slot div n_blocks"), F.col("slot") % F.col("n_blocks"), F.col("n_blocks"))).select("shard", "number", "slot", "block")
 
 
-def mix(docs: DataFrame, block: int = 128, shard_slots: int = 4096) -> DataFrame:
+def mix(docs: DataFrame, block: int = 128, shard_slots: int = 4096, keyed: bool = False) -> DataFrame:
     """doc_id, size, source_size, target, taken for every row of ``docs``: how many words of it the mix takes.
 
     Sources weigh 1, 2, 3 and so on again, by code point, null last.  Null and empty texts have size 0 and nothing
     is taken of them; a null source is a source; rows without an id or with the same id each have their own words.
     Only doc_id, source and text are read.  An empty table gives an empty result.  ``block`` is the words of a
-    block (a source's last one may be shorter), ``shard_slots`` the blocks of an output shard.
+    block (a source's last one may be shorter), ``shard_slots`` the blocks of an output shard.  With ``keyed``, the row's
+    ``row_key`` follows.
     """
     rows = sized(docs)
     key = ["s", "sn", "bucket"]
@@ -107,14 +128,15 @@ def mix(docs: DataFrame, block: int = 128, shard_slots: int = 4096) -> DataFrame
     base = F.coalesce(F.sum("bucket_size").over(Window.partitionBy("s", "sn").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = buckets.withColumn("base", base).join(sources, ["s", "sn"]).select(*key, "base", "number", "source_size", "target")
     # a bucket is one of 4096 parts of a source, so a source of any size is dealt over many tasks
-    running = F.coalesce(F.sum("size").over(Window.partitionBy(*key).orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    at = rows.join(placed, key).withColumn("start", F.col("base") + running).select("doc_id", "size", "source_size", "target", "number", "start")
+    running = F.coalesce(F.sum("size").over(Window.partitionBy(*key).orderBy("h", "doc_id", "size", "row_key").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    at = rows.join(placed, key).withColumn("start", F.col("base") + running).select("doc_id", "size", "source_size", "target", "row_key", "number", "start")
     end = F.col("start") + F.col("size")
     pieces = at.filter("size > 0").withColumn("block", F.explode(F.sequence(F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}"))))
     words = F.least(end, (F.col("block") + 1) * block) - F.greatest("start", F.col("block") * block)
-    taken = pieces.withColumn("words", words).join(counts.hint("merge"), ["number", "block"], "left").groupBy("doc_id", "size", "source_size", "target", "number", "start").agg(F.sum(F.col("words") * F.coalesce("copies", F.lit(0))).cast("long").alias("taken"))
+    taken = pieces.withColumn("words", words).join(counts.hint("merge"), ["number", "block"], "left").groupBy("doc_id", "size", "source_size", "target", "row_key", "number", "start").agg(F.sum(F.col("words") * F.coalesce("copies", F.lit(0))).cast("long").alias("taken"))
     columns = ["doc_id", "size", "source_size", "target"]
-    return taken.select(*columns, "taken").union(at.filter("size = 0").select(*columns, F.lit(0).cast("long")))
+    more = ["row_key"] if keyed else []
+    return taken.select(*columns, "taken", *more).union(at.filter("size = 0").select(*columns, F.lit(0).cast("long"), *more))
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,7 +146,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE = r"""
 with sized as (
   select doc_id, coalesce(source, '') as s, source is null as sn, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as size,
-    md5(coalesce(cast(doc_id as varchar), 'null')) as h from documents),
+    md5(concat_ws(':', coalesce(cast(doc_id as varchar), 'null'), md5(coalesce(text, '')))) as h from documents),
 sizes as (select s, sn, cast(sum(size) as bigint) as source_size from sized group by s, sn),
 numbered as (select *, row_number() over (order by sn, s) - 1 as number from sizes),
 weighted as (select *, number % 3 + 1 as weight from numbered),

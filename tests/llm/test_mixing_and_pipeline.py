@@ -9,10 +9,10 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from emberline.llm import decontamination as D
 from emberline.llm import mixing as M
-from emberline.llm import simhash as S
 from emberline.llm import toxicity as T
 
-from .helpers import ODD, empty, odd
+from .helpers import ODD, SCHEMA, empty, odd
+from .test_shingles import plain as all_pairs
 
 
 def targets(sizes):
@@ -79,8 +79,8 @@ def test_pipeline_equals_plain_steps(spark, small):
     docs, labels, bench = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "labels", "benchmark"))
     scorer = T.fit_toxicity(docs, labels).scorer()
     rows = [r for r in docs.collect() if scorer.score(r.text or "") < 0.5]
-    groups = S.brute_force([(r.doc_id, r.text) for r in rows])
-    rows = [r for r in rows if groups[r.doc_id][1] == r.doc_id]
+    groups = all_pairs([(r.doc_id, r.text) for r in rows])  # five-word shingles, 0.8
+    rows = [r for r in rows if groups[r.doc_id] == r.doc_id]
     hits = D.brute_force([r.text for r in rows], [(str(r.item_id), r.text) for r in bench.collect()])
     rows = [r for r, h in zip(rows, hits) if h[1] == 0]
     assert 0 < len(rows) < docs.count()
@@ -102,3 +102,34 @@ def test_stages_take_odd_rows(spark, small):
     kept = corpus_pipeline.drop_near_duplicates(spark, docs, small).collect()
     assert sorted(r.doc_id for r in kept if r.doc_id in (1, 2, 9)) in ([1], [1, 9]) and len(kept) < len(ODD)
     assert corpus_pipeline.write_tokens(spark, docs, small).count() == len(ODD)
+
+
+def test_rows_that_share_an_id_are_decided_by_their_own_text(spark, small):
+    """Of (1, T), (5, U), (5, T) two rows stay; columns named like the stages' own pass through."""
+    t, u = (" ".join(f"{x}{k}" for k in range(80)) for x in "tu")
+    docs = spark.createDataFrame([(1, t, "en", "a", 1), (5, u, "en", "a", 1), (5, t, "en", "a", 1), (5, t, "en", "a", 2), (None, u, "en", "b", 1), (None, "no other", "en", "b", 1)], SCHEMA)
+    names = ("row", "key", "root", "rows", "chosen_id", "row_key", "copies", "copy", "_rows", "_id", "_copies", "_copy", "leak", "toxicity", "a.b")
+    docs = docs.select("*", *(F.lit(n).alias(n) for n in names))
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, small)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == [(0, "no other"), (1, t), (5, u)]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, small)
+        assert out.columns == docs.columns, name
+        assert all(r[n] == n for r in out.select(*names[:-1]).collect() for n in names[:-1]), name
+
+
+def test_rows_without_an_id_are_mixed_each_by_itself(spark, small):
+    docs = spark.createDataFrame([(None, f"text {k} " + "w " * k, "en", f"s{k % 3}", 1) for k in range(400)], SCHEMA)
+    assert docs.select(M.row_key().alias("k")).distinct().count() == 400
+    buckets = M.sized(docs).groupBy("bucket").count()
+    assert buckets.count() > 300
+    rows = M.mix(docs, block=16).collect()
+    assert len(rows) == 400 and all(0 <= r.taken <= 3 * r.size for r in rows)
+
+
+def test_runs_of_shards_give_the_same_slots(spark, small):
+    rows = M.sized(spark.read.parquet(f"{small}/documents.parquet"))
+    sources = M.saved(M.source_targets(rows.groupBy("s", "sn", "bucket").agg(F.sum("size").alias("bucket_size")), 16), "test-sources")
+    draws = [sorted(map(tuple, M.shard_draws(sources, 64, run).collect())) for run in (1, 3, 1024)]
+    assert draws[0] == draws[1] == draws[2] and len(draws[0]) > 100

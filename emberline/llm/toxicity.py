@@ -1,13 +1,14 @@
 """Operator 3: toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on toxic and one on ordinary text.  A window (a word, lower-cased,
-with the spaces around it) is compressed with each; its margin is the length with the ordinary dictionary less
-the length with the toxic one.  A document's evidence is how many of its windows reach each of a few margins,
-and calibrated weights turn that into a score.
-
-Most of a toxic document is ordinary text, so the toxic dictionary is trained on those windows of toxic documents
-that occur in many more different contexts there than in ordinary ones; counting contexts rather than occurrences
-keeps a document with thousands of copies from making its own words look toxic.
+Two zstandard dictionaries are trained, one on ordinary texts and one on what toxic texts have of their own: the stretches
+covered by grams of bytes that recur in toxic texts and hardly in ordinary ones.  Most of a toxic document is ordinary
+text, and a dictionary trained on all of it tells the classes apart less.  No words are listed; a stretch ends where its
+grams do.
+
+Every window of a whole text (a word, lower-cased, in a frame of bytes that both dictionaries hold) is compressed with
+each; its margin is the length with the ordinary dictionary less the length with the toxic one.  A document's evidence is
+how many of its windows reach each of a few margins, and calibrated weights turn that into a score.  Wider windows mix
+the few telling bytes with the noise of how prose happens to match: the README has figures.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import in_worker, small_batches, table
 
 #: Margins in bytes that windows are counted at.
-LEVELS = (1, 2, 3, 4, 5, 6)
+LEVELS = (1, 2, 3, 4, 5, 6, 7, 8)
 #: What stands around a window when it is compressed, known to both dictionaries: without it a few bytes of text
 #: are stored as they are, whatever the dictionary, and a match could not begin in the last bytes.
 _BEFORE, _AFTER = bytes(range(1, 32)) + bytes(range(128, 161)), bytes(range(161, 192))
@@ -49,7 +50,7 @@ class _Margins(dict):
         super().__init__()
         import zstandard
 
-        make = lambda d: zstandard.ZstdCompressor(level=9, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False, write_checksum=False, write_dict_id=False).compress
+        make = lambda d: zstandard.ZstdCompressor(level=9, dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_checksum=False, write_dict_id=False).compress
         self.ordinary, self.toxic, self.cap = make(model.ordinary), make(model.toxic), cap
 
     def __missing__(self, chunk: str) -> int:
@@ -82,36 +83,59 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def _enriched(toxic: list[str], ordinary: list[str], least: int = 4, z: float = 6.0) -> list[str]:
-    """Windows of toxic texts, as often as in different contexts, that are far more frequent there."""
-    ids: dict[str, int] = {}
-    pairs = []
-    for texts in (toxic, ordinary):
-        codes = []
-        for text in dict.fromkeys(texts):
-            words = [ids.setdefault(w.strip(_TRIM), len(ids)) for w in text.lower().split()]
-            codes.append(np.array([0, *words], np.int64))
-        pairs.append(codes)
-    size, counts, totals = len(ids) + 1, [], []
-    for codes in pairs:
-        seen = np.unique(np.concatenate([c[:-1] * size + c[1:] for c in codes])) if codes else np.zeros(0, np.int64)
-        counts.append(np.bincount(seen % size, minlength=size).astype(float))
-        totals.append(max(1, len(seen)))
-    expected = counts[1] * totals[0] / totals[1]
-    pick = np.flatnonzero((counts[0] >= least) & (counts[0] >= 3 * expected) & ((counts[0] - expected) / np.sqrt(expected + 0.5) >= z))
-    words = list(ids)
-    return [words[i] for i in pick for _ in range(int(min(counts[0][i], 200))) if words[i]]
-
-
-def _dictionary(windows: list[str], size: int) -> bytes:
-    """A trained dictionary, or the distinct windows themselves where they are too few to train on."""
+def _grams(text: bytes, n: int) -> np.ndarray:
+    """Every n bytes in a row (at most 8) as a number."""
+    a = np.frombuffer(text, np.uint8).astype(np.uint64)
+    out = np.zeros(max(len(a) - n + 1, 0), np.uint64)
+    for j in range(n):
+        out = out << np.uint64(8) | a[j : j + len(out)]
+    return out
+
+
+def _shares(texts: list[str], most: int, piece: int = 4096) -> list[bytes]:
+    """The texts in lower case; of those over an even share of ``most`` bytes, pieces spread evenly over all of the text."""
+    share, out = max(piece, most // max(len(texts), 1)), []
+    for text in texts:
+        b = text.lower().encode()
+        n = -(-len(b) // piece)
+        if len(b) > share:
+            b = b"\n".join(b[int(k) * piece : (int(k) + 1) * piece] for k in np.linspace(0, n - 1, share // piece))
+        out.append(b)
+    return out
+
+
+def _telling(toxic: list[bytes], ordinary: list[bytes], lengths: tuple[int, ...], few: int, times: float) -> list[bytes]:
+    """Distinct stretches of toxic texts, with a byte on either side, that telling grams cover.
+
+    A gram tells if ``few`` toxic texts or more hold it, and ``times`` the share of ordinary texts that do.
+    """
+
+    def held(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
+        return np.unique(np.concatenate([np.zeros(0, np.uint64), *(np.unique(_grams(t, n)) for t in texts)]), return_counts=True)
+
+    out: dict[bytes, None] = {}
+    for n in lengths:
+        (grams, count), (others, often) = held(toxic, n), held(ordinary, n)
+        at = np.searchsorted(others, grams)
+        there = np.append(others, np.uint64(2**64 - 1))[at] == grams
+        expected = np.where(there, np.append(often, 0)[at], 0) + 0.5
+        tells = np.append(grams[(count >= few) & (count * len(ordinary) >= times * expected * len(toxic))], np.uint64(2**64 - 1))
+        for text in toxic:
+            grams = _grams(text, n)
+            at = np.flatnonzero(tells[np.searchsorted(tells, grams)] == grams)
+            for run in np.split(at, np.flatnonzero(np.diff(at) > n) + 1) if len(at) else []:
+                out[text[max(0, int(run[0]) - 1) : int(run[-1]) + n + 1]] = None
+    return list(out)
+
+
+def _dictionary(samples: list[bytes], size: int, k: int, d: int) -> bytes:
+    """Content of a trained dictionary, or the distinct samples themselves where they are too few to train on."""
     import zstandard
 
-    samples = [(" " + " ".join(windows[k : k + 12]) + " ").encode() for k in range(0, len(windows), 12)]
     try:
-        content = zstandard.train_dictionary(size, samples, k=48, d=6).as_bytes()
+        content = zstandard.train_dictionary(size + 512, samples, k=k, d=d).as_bytes()[-size:]  # less the entropy tables
     except zstandard.ZstdError:
-        content = (" " + " ".join(dict.fromkeys(windows)) + " ").encode()[-size:]
+        content = b" ".join(dict.fromkeys(samples))[:size]
     return content + _BEFORE + _AFTER
 
 
@@ -129,17 +153,26 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3, rounds: int = 60
     return w
 
 
-def fit(toxic: list[str], ordinary: list[str], toxic_bytes: int = 4 << 10, ordinary_bytes: int = 48 << 10) -> ToxicityModel:
-    """Dictionaries from the windows of distinct texts, then weights on the evidence; a constant score if a class is empty."""
+def fit(
+    toxic: list[str], ordinary: list[str], toxic_bytes: int = 4 << 10, ordinary_bytes: int = 48 << 10, lengths: tuple[int, ...] = (5, 8), few: int = 4, times: float = 6.0, most_bytes: int = 16 << 20
+) -> ToxicityModel:
+    """Dictionaries from distinct texts, then weights on the evidence; a constant score if a class is empty.
+
+    ``toxic_bytes`` and ``ordinary_bytes`` are the dictionaries' sizes; ``lengths``, ``few`` and ``times`` say which grams
+    tell.  ``most_bytes`` bounds what the dictionaries of a class are trained on; every text gives an even share.  The
+    weights are fitted on whole texts.
+    """
     import random
 
     toxic, ordinary = list(dict.fromkeys(toxic)), list(dict.fromkeys(ordinary))
-    plain = [w.strip(_TRIM) for text in ordinary[::2] or [""] for w in text.lower().split()][:1_500_000] or [""]
-    bad = _enriched(toxic, ordinary)
-    if not bad:
+    plain = _shares(ordinary, most_bytes)
+    stretches = _telling(_shares(toxic, most_bytes), plain, lengths, few, times) if plain else []
+    if not stretches:
         return ToxicityModel(_BEFORE + _AFTER, _BEFORE + _AFTER, (0.0,) * 2 * len(LEVELS), -30.0 if not toxic else math.log((len(toxic) + 0.5) / (len(ordinary) + 0.5)))
-    random.Random(7).shuffle(bad)
-    model = ToxicityModel(_dictionary(bad, toxic_bytes), _dictionary(plain, ordinary_bytes), (0.0,) * 2 * len(LEVELS), 0.0)
+    random.Random(7).shuffle(stretches)  # training reads samples in turn, so their order must not follow the texts
+    bad = _dictionary([b" ".join(stretches[k : k + 8]) for k in range(0, len(stretches), 8)], toxic_bytes, 32, 6)
+    good = _dictionary([t[k : k + 256] for t in plain for k in range(0, len(t), 256)], ordinary_bytes, 64, 8)
+    model = ToxicityModel(bad, good, (0.0,) * 2 * len(LEVELS), 0.0)
     scorer = model.scorer()
     x = np.array([scorer.evidence(t) for t in toxic + ordinary])
     w = _logistic(x, np.array([1.0] * len(toxic) + [0.0] * len(ordinary)))

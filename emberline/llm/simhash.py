@@ -1,12 +1,14 @@
 """Operator 6: near-duplicates by SimHash, found with a Gray-order hierarchical index.
 
-Fingerprints that differ in at most 4 of 64 bits agree on at least 3 of 7 blocks of bits, so each of the 35
-choices of 3 blocks is a table in which linked fingerprints share a key.  Within a key, fingerprints are sorted
-by Gray rank, neighbours are grouped, and what bits a group shares is factored into the group's node, so that a
-search adds up the differences from the top and leaves a whole group as soon as they exceed 4.  A node whose
-members are all in the query's component already is left too: only a spanning forest of a key's links is needed,
-and none of the pairs of a large group of copies is ever written.  A key with too many fingerprints for one task
-is cut into chunks and every two chunks meet in a task of their own.
+Fingerprints that differ in at most 4 of 64 bits agree on at least c of 4 + c blocks of bits, so each choice of c blocks is a
+table in which linked fingerprints share a key.  c is the least for which a key is expected to hold no more fingerprints
+than a task takes: none at first (one index over all), then 5 tables, 15 and 35, whatever the size with the same links.
+
+All fingerprints of a key are searched by one index.  They are sorted by Gray rank, neighbours are grouped, and what bits a
+group shares is factored into the group's node, so that a search adds up the differences from the top and leaves a whole
+group as soon as they exceed 4.  A node whose members are all in the query's component already is left too: only a spanning
+forest of a key's links is needed, and none of the pairs of a large group of copies is ever written.  A key with too many
+fingerprints for one task is cut into chunks and every two chunks meet in a task of their own.
 """
 
 from __future__ import annotations
@@ -23,9 +25,18 @@ from ..operators.graph import components
 from .common import saved, small_batches, table
 
 MOST, FANOUT = 4, 16
-#: Bits of the 7 blocks: six of 9 and one of 10.
-_BLOCKS = [((1 << n) - 1) << at for n, at in ((9, 0), (9, 9), (9, 18), (9, 27), (9, 36), (9, 45), (10, 54))]
-TABLES = [a | b | c for a, b, c in itertools.combinations(_BLOCKS, 3)]
+
+
+def key_masks(c: int) -> list[int]:
+    """The bits of each choice of ``c`` of 4 + c blocks that 64 bits are cut into evenly; the one mask of no bits for 0."""
+    edges = [64 * k // (MOST + c) for k in range(MOST + c + 1)]
+    blocks = [(1 << high) - (1 << low) for low, high in itertools.pairwise(edges)]
+    return [sum(x) for x in itertools.combinations(blocks, c)]
+
+
+def blocks_for(n: int, most: int) -> int:
+    """The least number of blocks in a key for which ``n`` fingerprints come to ``most`` a key or fewer; at most 3."""
+    return next((c for c in range(3) if n >> c * (64 // (MOST + c)) <= most), 3)
 
 
 def fingerprint(text: str | None, size: int = 4) -> int:
@@ -150,22 +161,15 @@ def _roots(parent: np.ndarray) -> np.ndarray:
         parent = up
 
 
-def _link(keys: np.ndarray, ranks: np.ndarray, small: int = 8) -> tuple[np.ndarray, np.ndarray]:
+def _link(keys: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges within runs of equal ``keys``; ``ranks`` are unsigned Gray ranks, ascending in a run, repeats allowed."""
     keep = np.concatenate([[True], (keys[1:] != keys[:-1]) | (ranks[1:] != ranks[:-1])])
     keys, ranks = keys[keep], ranks[keep]
     fps = ranks ^ (ranks >> np.uint64(1))
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     sizes = np.diff(np.append(starts, len(keys)))
-    a, b = [], []
-    few = np.repeat((sizes > 1) & (sizes <= small), sizes)
-    for s in range(1, small):
-        near = few[:-s] & (keys[:-s] == keys[s:]) if s < len(keys) else np.zeros(0, bool)
-        i = np.flatnonzero(near)
-        i = i[np.bitwise_count(fps[i] ^ fps[i + s]) <= MOST]
-        a.append(fps[i])
-        b.append(fps[i + s])
-    for k in np.flatnonzero(sizes > small):
+    a, b = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+    for k in np.flatnonzero(sizes > 1):
         x, y = forest(fps[starts[k] : starts[k] + sizes[k]])
         a.append(x)
         b.append(y)
@@ -207,7 +211,7 @@ def fingerprint_links(fps: DataFrame, most: int = 16_384) -> DataFrame:
 
     ``most`` is the number of fingerprints that share a key in one task; larger keys are cut into chunks of that.
     """
-    signed = [x - (1 << 64) if x >= 1 << 63 else x for x in TABLES]
+    signed = [x - (1 << 64) if x >= 1 << 63 else x for x in key_masks(blocks_for(fps.count(), most))]
     keys = fps.select("fp", gray_rank(F.col("fp")).alias("g")).select("g", F.explode(F.array(*(F.struct(F.lit(t).cast("byte").alias("t"), F.col("fp").bitwiseAND(F.lit(x)).alias("m")) for t, x in enumerate(signed)))).alias("k")).select("k.t", "k.m", "g")
     hot = saved(keys.groupBy("t", "m").agg(F.count("*").alias("n")).filter(F.col("n") > most), "hot-keys")
     alone = (F.lit(0).alias("i"), F.lit(0).alias("j"))

@@ -51,6 +51,23 @@ def test_components_equal_brute_force(spark, small):
     assert got == want
 
 
+def test_every_number_of_blocks_gives_the_same_groups(spark, monkeypatch):
+    """Every number of blocks leaves each link in a key, and the index of each key finds it."""
+    f = near(np.random.default_rng(6), 700, 11)
+    pairs = [(int(x), int(y)) for x in f for y in f[np.bitwise_count(f ^ x) <= 4]]
+    want = groups(f, np.array([p[0] for p in pairs], np.uint64), np.array([p[1] for p in pairs], np.uint64))
+    df = spark.createDataFrame([(int(x),) for x in f.view(np.int64)], "fp long")
+    for c, tables in ((0, 1), (1, 5), (2, 15), (3, 35)):
+        masks = S.key_masks(c)
+        assert len(masks) == tables and all(any((x ^ y) & m == 0 for m in masks) for x, y in pairs)
+        monkeypatch.setattr(S, "blocks_for", lambda n, most, c=c: c)
+        rows = S.fingerprint_links(df).collect()
+        a, b = (np.array([getattr(r, k) for r in rows], np.int64).view(np.uint64) for k in "ab")
+        assert groups(f, a, b) == want
+    monkeypatch.undo()
+    assert [S.blocks_for(n, 16_384) for n in (0, 16_384, 10**6, 10**9, 10**12)] == [0, 0, 1, 2, 3]
+
+
 def test_large_keys_are_cut_without_losing_links(spark):
     f = near(np.random.default_rng(5), 900, 10)
     df = spark.createDataFrame([(int(x),) for x in f.view(np.int64)], "fp long")

@@ -3,7 +3,8 @@
 Pages are grouped by host; a line that stands in more than a given share of its host's pages is boilerplate of that
 site and is dropped from them.  Frequencies are counted with partial aggregates on (host, line digest).  A host has
 at most (lines a page) / (share) such lines, so they are gathered in one small array a host; that array meets the
-host's pages under a salt, so a host with a third of all pages is dealt over many tasks.
+host's pages under a salt.  A host has a salt for each so many pages, so one with a third of all pages is dealt over as
+many tasks as it needs, and a small one costs one row.  Pages are parsed once and their lines written.
 """
 
 from __future__ import annotations
@@ -11,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import saved, table
 
-SALTS = 32
+#: Pages of a host that meet its array under one salt.
+PAGES_A_SALT = 2048
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 _UNSEEN = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
 _BLOCKS = r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|option|p|pre|section|table|tbody|td|tfoot|th|thead|title|tr|ul)\b[^>]*>"
@@ -41,14 +43,22 @@ def drop_site_lines(pages: DataFrame, share: float = 0.3, least: int = 3) -> Dat
     empty html has no lines and an empty text, and counts as a page.  Other columns are not read; an empty table gives
     an empty result.
     """
-    rows = pages.select("page_id", host_of(F.col("url")).alias("host"), F.coalesce(lines_of(F.col("html")), F.array().cast("array<string>")).alias("lines"))
+    rows = saved(pages.select("page_id", host_of(F.col("url")).alias("host"), F.coalesce(lines_of(F.col("html")), F.array().cast("array<string>")).alias("lines")), "page-lines")
     digest = lambda x: F.md5(x.cast("binary"))
+    totals = saved(rows.groupBy("host").agg(F.count("*").alias("pages")).withColumn("salts", F.ceil(F.col("pages") / PAGES_A_SALT).cast("int")), "host-pages")
     seen = rows.select("host", F.explode(F.transform(F.array_distinct("lines"), digest)).alias("line")).groupBy("host", "line").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    totals = pages.select(host_of(F.col("url")).alias("host")).groupBy("host").agg(F.count("*").alias("pages")).withColumn("salt", salts)
-    common = seen.withColumn("salt", F.pmod(F.xxhash64("line"), F.lit(SALTS)).cast("int")).join(totals, ["host", "salt"]).filter(F.col("n") > F.lit(share) * F.col("pages"))
-    site = common.groupBy("host").agg(F.collect_set("line").alias("common")).withColumn("salt", salts)
-    joined = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", F.size("lines")), F.lit(SALTS)).cast("int")).join(site, ["host", "salt"], "left")
+    big = totals.filter("salts > 1").select("host", "salts")
+    if big.count() <= 100_000:  # two numbers a host; beyond that the hosts are joined like any rows
+        big = F.broadcast(big)
+
+    def dealt(df: DataFrame, *by: str) -> DataFrame:
+        """A host's rows over as many salts as its pages call for."""
+        return df.join(big, "host", "left").withColumn("salt", F.pmod(F.xxhash64(*by), F.coalesce("salts", F.lit(1))).cast("int")).drop("salts")
+
+    salts = F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
+    common = dealt(seen, "line").join(totals.select("host", "pages", "salts", salts.alias("salt")), ["host", "salt"]).filter(F.col("n") > F.lit(share) * F.col("pages"))
+    site = common.groupBy("host", "salts").agg(F.collect_set("line").alias("common")).select("host", "common", salts.alias("salt"))
+    joined = dealt(rows, "page_id", "lines").join(site, ["host", "salt"], "left")
     kept = F.when(F.col("common").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda x: ~F.array_contains("common", digest(x))))
     out = joined.select("page_id", "host", F.size("lines").cast("long").alias("n_lines"), kept.alias("kept"))
     return out.select("page_id", "host", "n_lines", (F.col("n_lines") - F.size("kept")).alias("n_dropped"), F.array_join("kept", "\n").alias("text"))

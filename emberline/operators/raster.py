@@ -126,6 +126,56 @@ def pixel_window(scenes: DataFrame) -> DataFrame:
     })
 
 
+def block_footprint(blocks: DataFrame, by: str = "scene") -> DataFrame:
+    """(by, x0, y0, x1, y1): the pixel window that all blocks of a scene cover together."""
+    return blocks.groupBy(by).agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))
+
+
+def pixel_box(windows: DataFrame) -> DataFrame:
+    """Windows (min_x, max_y, res_x, res_y, epsg; x0, y0, x1, y1) with the box in degrees of their four corners: the grid is turned."""
+    zone, north = geo.utm_zone(F.col("epsg"))
+    corners = [geo.from_utm(F.col("min_x") + F.col(x) * F.col("res_x"), F.col("max_y") - F.col(y) * F.col("res_y"), zone, north) for x in ("x0", "x1") for y in ("y0", "y1")]
+    lon, lat = ([c[k] for c in corners] for k in (0, 1))
+    return windows.withColumns({"west": F.least(*lon), "south": F.least(*lat), "east": F.greatest(*lon), "north": F.greatest(*lat)})
+
+
+def pixel_polygon(min_x: Column, max_y: Column, epsg: Column, col0: Column, row0: Column, col1: Column, row1: Column, pixel: float = 10.0) -> Column:
+    """GeoJSON polygon in degrees of a pixel window of a raster in metres, from its lower left corner round: a chip's footprint,
+    or a component's envelope."""
+    zone, north = geo.utm_zone(epsg)
+    x0, x1, y0, y1 = min_x + col0 * pixel, min_x + col1 * pixel, max_y - row1 * pixel, max_y - row0 * pixel
+    ring = F.array(*(F.array(*geo.from_utm(x, y, zone, north)) for x, y in ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))))
+    return F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates"))
+
+
+def fits_chip(chips: DataFrame, pixel: float = 10.0) -> Column:
+    """Whether an area's box (west, south, east, north, full_tile) lies within a chip (min_x, max_y, width, height, epsg)."""
+    zone, north = geo.utm_zone(F.col("epsg"))
+    inside = ~F.coalesce(F.col("full_tile"), F.lit(False))
+    for lon in ("west", "east"):
+        for lat in ("south", "north"):
+            x, y = geo.to_utm(F.col(lon), F.col(lat), zone, north)
+            inside &= x.between(F.col("min_x"), F.col("min_x") + F.col("width") * pixel) & y.between(F.col("max_y") - F.col("height") * pixel, F.col("max_y"))
+    return inside
+
+
+def cloud_cells(scenes: DataFrame, masks: DataFrame) -> DataFrame:
+    """(scene, key, i, j, cloud): the cloud share of every sampling cell under the blocks that a scene's detector reads.
+
+    ``scenes`` are blocks of scenes (``block_lattice``) with min_x, max_y, res_x, res_y and epsg; ``masks`` has scene, r, c, scl.
+    Blocks reach beyond an area's box, so cells cover their union.  A cell without a valid mask pixel has no row.
+    """
+    place = scenes.select("scene", "min_x", "max_y", "res_x", "res_y", "epsg").distinct()
+    cells = grid_cells(pixel_box(block_footprint(scenes).join(place, "scene")))
+    zone, north = geo.utm_zone(F.col("epsg"))
+    x, y = geo.to_utm(F.col("lon"), F.col("lat"), zone, north)
+    c, r = F.floor((x - F.col("min_x")) / F.col("res_x")), F.floor((F.col("max_y") - y) / F.col("res_y"))
+    steps = F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in range(-2, 3) for b in range(-2, 3)))
+    asked = cells.select("scene", "key", "i", "j", r.alias("r"), c.alias("c")).withColumn("s", F.explode(steps)).select("scene", "key", "i", "j", (F.col("r") + F.col("s.a")).alias("r"), (F.col("c") + F.col("s.b")).alias("c"))
+    hist = class_histogram(asked.join(masks, ["scene", "r", "c"]), ["scene", "key", "i", "j"])
+    return hist.select("scene", "key", "i", "j", cloud_fraction(F.col("hist"), F.col("valid")).alias("cloud"))
+
+
 def owned(detections: DataFrame) -> DataFrame:
     """Detections whose peak lies in the inner part of their own block: halos overlap, each spot is kept once."""
     return detections.filter((F.floor(F.col("img_row") / BLOCK) == F.col("br")) & (F.floor(F.col("img_col") / BLOCK) == F.col("bc")))

@@ -82,9 +82,10 @@ Box = tuple[float, float, float, float]
 
 
 def widen(box: Box, least: float = 1e-6) -> Box:
-    """A box without area grown by ``least`` on each side."""
+    """A box without area, grown by ``least`` on both sides of each axis that is flat."""
     w, s, e, n = box
-    return (w - least, s - least, e + least, n + least) if e <= w or n <= s else box
+    x, y = least * (e <= w), least * (n <= s)
+    return w - x, s - y, e + x, n + y
 
 
 def disjoint(boxes: Sequence[Box]) -> list[Box]:
@@ -124,31 +125,69 @@ def default_window(today: dt.date | None = None, days: int = 183) -> tuple[str,
     return (today - dt.timedelta(days)).isoformat(), today.isoformat()
 
 
-def resolve_bands(items: DataFrame, level: str) -> DataFrame:
-    """Catalogue items (JSON text in ``item``) with a struct of band links, the mask's link and the granule metadata.
+#: Asset names of each catalogue profile, by band; bands that a profile does not list are null.
+ASSETS = {
+    "cdse-l1c": {b: b for b in BANDS} | {"product_metadata": "product_metadata", "granule_metadata": "granule_metadata"},
+    "cdse": {"B8A": "B8A_20m", "B11": "B11_20m", "B12": "B12_20m", "SCL": "SCL_20m", "product_metadata": "product_metadata", "granule_metadata": "granule_metadata"},
+    "aws-l1c": {
+        "B01": "coastal", "B02": "blue", "B03": "green", "B04": "red", "B05": "rededge1", "B06": "rededge2", "B07": "rededge3", "B08": "nir", "B8A": "nir08", "B09": "nir09",
+        "B10": "cirrus", "B11": "swir16", "B12": "swir22", "product_metadata": "granule_metadata", "granule_metadata": "granule_metadata",
+    },
+    "aws": {"B8A": "nir08", "B11": "swir16", "B12": "swir22", "SCL": "scl"},
+}
+_BUCKET, _BUCKET_URL = "s3://sentinel-s2-l1c/", "https://sentinel-s2-l1c.s3.eu-central-1.amazonaws.com/"
 
-    ``level`` names which asset keys to look for.  A catalogue that lists no B10 has it beside B11 under the same name.
+
+def resolve_bands(items: DataFrame, source: str) -> DataFrame:
+    """Catalogue items (JSON text in ``item``) with a struct of band links, the mask's link and the metadata's.
+
+    ``source`` is a profile of ``ASSETS`` (``l1c`` and ``l2a`` alone mean those of cdse).  A cdse item that lists no B10 has
+    it beside B11 under the same name; links into the open bucket of aws-l1c are read over https.
     """
+    source = {"l1c": "cdse-l1c", "l2a": "cdse"}.get(source, source)
     get = lambda *paths: F.coalesce(*(F.get_json_object("item", p) for p in paths))
-    link = lambda b: get(f"$.assets.{b}.href", f"$.assets.{b.lower()}.href", f"$.assets.{b}.alternate.s3.href")
+
+    def link(name: str) -> Column:
+        asset = ASSETS[source].get(name)
+        if asset is None:
+            return F.lit(None).cast("string")
+        found = get(*(f"$.assets.{n}.href" for n in dict.fromkeys((asset, asset.lower()) if source == "cdse-l1c" else (asset,))))
+        bare = F.substr(found, F.lit(len(_BUCKET) + 1))
+        return F.when(found.startswith(_BUCKET), F.concat(F.lit(_BUCKET_URL), bare)).otherwise(found) if source == "aws-l1c" else found
+
     bands = {b: link(b) for b in BANDS}
-    if level == "l1c":
-        bands["B10"] = F.coalesce(bands["B10"], F.regexp_replace(bands["B11"], r"_B11\.jp2$", "_B10.jp2"))
-    mask = get("$.assets.scl.href", "$.assets.SCL.href", "$.assets.SCL_20m.href")
-    meta = get("$.assets.granule_metadata.href", "$.assets.granule-metadata.href")
+    if source == "cdse-l1c":
+        bands["B10"] = F.coalesce(bands["B10"], F.replace(bands["B11"], F.lit("_B11.jp2"), F.lit("_B10.jp2")))
     grid = get("$.properties['grid:code']")
     from ..functions.geo import epsg_of_tile
 
-    epsg = F.coalesce(get("$.properties['proj:epsg']").try_cast("int"), F.when(grid.isNotNull(), epsg_of_tile(grid)))
+    epsg = F.when(grid.isNotNull(), epsg_of_tile(grid)) if source.startswith("cdse") else get("$.properties['proj:epsg']").try_cast("int")
     box = lambda k: get(f"$.bbox[{k}]").try_cast("double")
     return items.select(
         get("$.id").alias("id"), F.substring(get("$.properties.datetime"), 1, 10).alias("date"), get("$.properties.datetime").alias("datetime"),
         get("$.properties['eo:cloud_cover']").try_cast("double").alias("cloud_cover"), F.regexp_replace(grid, "^MGRS-", "").alias("mgrs"), epsg.alias("epsg"),
         box(0).alias("west"), box(1).alias("south"), box(2).alias("east"), box(3).alias("north"),
-        F.struct(*(c.alias(b.lower()) for b, c in bands.items()), mask.alias("scl"), meta.alias("granule_metadata")).alias("bands"),
+        F.struct(*(c.alias(b.lower()) for b, c in bands.items()), link("SCL").alias("scl"), link("product_metadata").alias("product_metadata"), link("granule_metadata").alias("granule_metadata")).alias("bands"),
     )
 
 
+def mask_links(items: DataFrame) -> DataFrame:
+    """(id, mask): the scene classification's link of a second-level item, under either catalogue's name."""
+    return items.select(F.get_json_object("item", "$.id").alias("id"), F.coalesce(F.get_json_object("item", "$.assets.SCL_20m.href"), F.get_json_object("item", "$.assets.scl.href")).alias("mask"))
+
+
+def by_time(scenes: DataFrame) -> DataFrame:
+    """Scenes in order of acquisition, then id."""
+    return scenes.orderBy("datetime", "id")
+
+
+def within_area(detections: DataFrame, areas: DataFrame, by: str = "area") -> DataFrame:
+    """Detections inside their area's box, edges included; an area of whole tiles (``full_tile``) keeps all of its own."""
+    box = areas.select(by, "west", "south", "east", "north", F.coalesce("full_tile", F.lit(False)).alias("full_tile"))
+    inside = F.col("full_tile") | (F.col("lon").between(F.col("west"), F.col("east")) & F.col("lat").between(F.col("south"), F.col("north")))
+    return detections.join(box, by).filter(inside).select(*detections.columns)
+
+
 def radiometry(date: Column, xml: Column | None = None) -> tuple[Column, Column]:
     """Offset and quantification: from the product's metadata, else an offset of -1000 from 2022-01-25 on, and 10000."""
     from ..functions.text import xml_number
@@ -159,32 +198,33 @@ def radiometry(date: Column, xml: Column | None = None) -> tuple[Column, Column]
     return F.coalesce(xml_number(xml, "RADIO_ADD_OFFSET"), rule), F.coalesce(xml_number(xml, "QUANTIFICATION_VALUE"), F.lit(10000.0))
 
 
-def background_candidates(scenes: DataFrame, least_s: int = 300, most_days: int = 120, cloud: float = 95.0, keep: int = 20) -> DataFrame:
-    """(scene columns as target_*, background_id, gap_s, rank): the ``keep`` acquisitions nearest in time of the same tile.
+def background_candidates(scenes: DataFrame, least_s: int = 300, most_days: int = 120, cloud: float = 95.0) -> DataFrame:
+    """(target_id, background_id, gap_s): every acquisition of the same tile within reach that is not too cloudy.
 
     Both sides enter buckets as long as the reach, a target looks into its own and the neighbours', so a tile's whole
-    archive never meets itself; the rank is a window of one target.
+    archive never meets itself.  Nothing is cut by rank here: how clear a candidate is over the target is not known yet.
     """
     reach = most_days * 86400
     s = scenes.withColumn("t", F.col("time").cast("timestamp").cast("long"))
     target = s.select("mgrs", F.col("id").alias("target_id"), F.col("t").alias("target_t")).withColumn("bucket", F.explode(F.expr(f"sequence(target_t div {reach} - 1, target_t div {reach} + 1)")))
     other = cloud_at_most(s, cloud).select("mgrs", F.col("id").alias("background_id"), "t", F.expr(f"t div {reach}").alias("bucket"))
-    gap = F.abs(F.col("t") - F.col("target_t"))
-    pairs = target.join(other, ["mgrs", "bucket"]).withColumn("gap_s", gap).filter(F.col("gap_s").between(least_s, reach))
-    w = Window.partitionBy("target_id").orderBy("gap_s", "background_id")
-    return pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= keep).select("target_id", "background_id", "gap_s", "rank")
+    pairs = target.join(other, ["mgrs", "bucket"]).withColumn("gap_s", F.abs(F.col("t") - F.col("target_t")))
+    return pairs.filter(F.col("gap_s").between(least_s, reach) & (F.col("target_id") != F.col("background_id"))).select("target_id", "background_id", "gap_s")
 
 
 def choose_background(candidates: DataFrame, strict: float = 95.0, loose: float = 65.0, keep: int = 20) -> DataFrame:
-    """(target_id, background_id): the most similar of the nearest clear candidates.
+    """(target_id, background_id): the most similar of the ``keep`` nearest clear candidates, however many hazy ones are nearer.
 
     Candidates have target_id, background_id, gap_s, clear_percent and dissimilarity.  If any is at least ``strict``
     per cent clear, only such count, else those of ``loose``; of them the ``keep`` nearest in time.
     """
-    enough = F.max(F.when(F.col("clear_percent") >= strict, 1).otherwise(0)).over(Window.partitionBy("target_id")) == 1
-    fit = candidates.withColumn("_least", F.when(enough, strict).otherwise(loose)).filter(F.col("clear_percent") >= F.col("_least"))
-    near = fit.withColumn("_n", F.row_number().over(Window.partitionBy("target_id").orderBy("gap_s", "background_id"))).filter(F.col("_n") <= keep)
-    return near.groupBy("target_id").agg(F.min_by("background_id", F.struct("dissimilarity", "gap_s", "background_id")).alias("background_id"))
+    # hazy candidates go before anything is sorted, and the strict ones are told apart without a second pass
+    fit = candidates.filter(F.col("clear_percent") >= loose).withColumn("_strict", F.col("clear_percent") >= strict)
+    place = F.row_number().over(Window.partitionBy("target_id", "_strict").orderBy("gap_s", "background_id"))
+    near = fit.withColumn("_n", place).filter(F.col("_n") <= keep)
+    # beside strict candidates the loose ones count only where there is no strict one, and then all of them are loose
+    best = lambda c: F.min_by(F.when(c, F.col("background_id")), F.when(c, F.struct("dissimilarity", "gap_s", "background_id")))
+    return near.groupBy("target_id").agg(F.coalesce(best(F.col("_strict")), best(~F.col("_strict"))).alias("background_id"))
 
 
 def wind_at(points: DataFrame, grid: DataFrame, origin: tuple[float, float], step: tuple[float, float], shape: tuple[int, int]) -> DataFrame:

@@ -336,3 +336,11 @@ SELECT w.vec_id AS mask, CASE WHEN n >= 3 THEN round(coalesce(hits, 0)/cast(n AS
 def collinearity(spark, sf):
     p = _pixels(spark, sf).filter("v > 0.15").select(F.col("vec_id").alias("mask"), (F.col("r") * 8 + F.col("c")).alias("id"), (F.col("c") * 10.0).alias("x"), (F.col("r") * 10.0).alias("y"))
     return R.collinearity(p, _segments(spark)).select("mask", F.round("collinearity", 6).alias("collinearity"))
+
+
+@query("""WITH s AS (SELECT cast(n_nationkey AS bigint) AS scene, 600 + n_nationkey*31 AS w, 500 + n_nationkey*17 AS h FROM nation)
+SELECT scene, 0 AS x0, 256 - 10 AS y0, cast(least(w, (ceil((w - 50)/256e0))*256 + 10) AS int) AS x1, h AS y1 FROM s""")
+def block_footprint(spark, sf):
+    k = F.col("n_nationkey").cast("int")
+    s = table(spark, sf, "nation").select(k.cast("long").alias("scene"), (600 + k * 31).alias("width"), (500 + k * 17).alias("height")).withColumns({"px0": F.lit(0), "py0": F.lit(300), "px1": F.col("width") - 50, "py1": F.col("height")})
+    return A.block_footprint(A.block_lattice(s)).select("scene", *(F.col(n).cast("int").alias(n) for n in ("x0", "y0", "x1", "y1")))

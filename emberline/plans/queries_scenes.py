@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..fixtures import over, sql, table
 from ..functions import text
 from ..operators import scenes as S
-from ..sources import areas, records
+from ..sources import areas, records, stac
 from ..storage import scratch
 from ..streaming import incremental
 from . import commands
@@ -88,7 +88,7 @@ def manifest_merge(spark, sf):
 
 @query("""WITH s AS (SELECT id, mgrs, coalesce(cloud_cover, 100) AS cloud, date_diff('day', DATE '1970-01-01', cast(date AS date))*86400 + (o_orderkey % 24)*3600 AS t FROM fx_scenes),
 p AS (SELECT a.id AS target_id, b.id AS background_id, abs(a.t - b.t) AS gap_s FROM s a JOIN s b USING (mgrs) WHERE b.cloud <= 95 AND abs(a.t - b.t) BETWEEN 300 AND 10368000)
-SELECT * FROM (SELECT *, cast(row_number() OVER (PARTITION BY target_id ORDER BY gap_s, background_id) AS int) AS rank FROM p) WHERE rank <= 20""")
+SELECT * FROM p""")
 def background_candidates(spark, sf):
     d = over(spark, sf, "fx_scenes")
     time = F.timestamp_seconds(F.unix_date(F.col("date").cast("date")).cast("long") * 86400 + (F.col("o_orderkey") % 24) * 3600)
@@ -97,9 +97,8 @@ def background_candidates(spark, sf):
 
 @query("""WITH s AS (SELECT id, mgrs, o_orderkey AS k, coalesce(cloud_cover, 100) AS cloud, date_diff('day', DATE '1970-01-01', cast(date AS date))*86400 + (o_orderkey % 24)*3600 AS t FROM fx_scenes),
 p AS (SELECT a.id AS target_id, b.id AS background_id, abs(a.t - b.t) AS gap_s, b.k % 101 AS clear, ((a.k + b.k)*7 % 1000)/1e3 AS d FROM s a JOIN s b USING (mgrs) WHERE b.cloud <= 95 AND abs(a.t - b.t) BETWEEN 300 AND 10368000),
-q AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY target_id ORDER BY gap_s, background_id) AS n FROM p) WHERE n <= 20),
-l AS (SELECT *, max(CASE WHEN clear >= 95 THEN 1 ELSE 0 END) OVER (PARTITION BY target_id) AS strict FROM q),
-f AS (SELECT * FROM l WHERE clear >= CASE WHEN strict = 1 THEN 95 ELSE 65 END)
+l AS (SELECT *, max(CASE WHEN clear >= 95 THEN 1 ELSE 0 END) OVER (PARTITION BY target_id) AS strict FROM p),
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY target_id ORDER BY gap_s, background_id) AS n FROM l WHERE clear >= CASE WHEN strict = 1 THEN 95 ELSE 65 END) WHERE n <= 20)
 SELECT target_id, background_id FROM (SELECT *, row_number() OVER (PARTITION BY target_id ORDER BY d, gap_s, background_id) AS m FROM f) WHERE m = 1""")
 def nearest_background(spark, sf):
     d = over(spark, sf, "fx_scenes")
@@ -216,3 +215,67 @@ def stream_daily_counts(spark, sf):
 @query("SELECT id, concat(regexp_replace(mgrs, '[^A-Za-z0-9_-]', '_', 'g'), '-', substr(sha256(date), 1, 8)) AS key FROM fx_scenes")
 def area_keys(spark, sf):
     return over(spark, sf, "fx_scenes").select("id", text.area_key(F.col("mgrs"), F.col("date")).alias("key"))
+
+
+def _items(spark, sf, assets: dict[str, str], more: dict[str, F.Column]) -> DataFrame:
+    """Catalogue items of scenes with the assets that a profile lists."""
+    link = {a: F.struct(F.concat(F.lit(head), "id", F.lit(f"_{a}.jp2")).alias("href")).alias(a) for a, head in assets.items()}
+    item = F.to_json(F.struct("id", F.struct(F.concat("date", F.lit("T07:00:00Z")).alias("datetime"), *(c.alias(n) for n, c in more.items())).alias("properties"), F.struct(*link.values()).alias("assets")))
+    return over(spark, sf, "fx_scenes").select(item.alias("item"))
+
+
+@query("SELECT id, concat('https://sentinel-s2-l1c.s3.eu-central-1.amazonaws.com/', id, '_swir22.jp2') AS b12, concat('https://h/', id, '_cirrus.jp2') AS b10, concat('s3://other/', id, '_nir08.jp2') AS b8a, cast(NULL AS varchar) AS scl, cast(32600 + o_orderkey % 60 AS int) AS epsg FROM fx_scenes")
+def stac_items_aws_l1c(spark, sf):
+    d = _items(spark, sf, {"swir22": "s3://sentinel-s2-l1c/", "cirrus": "https://h/", "nir08": "s3://other/"}, {"proj:epsg": 32600 + F.col("o_orderkey") % 60})
+    return S.resolve_bands(d, "aws-l1c").select("id", "bands.b12", "bands.b10", "bands.b8a", "bands.scl", "epsg")
+
+
+@query("SELECT id, concat('https://h/', id, '_swir22.jp2') AS b12, concat('https://h/', id, '_nir08.jp2') AS b8a, cast(NULL AS varchar) AS b02, concat('https://h/', id, '_scl.jp2') AS scl FROM fx_scenes")
+def stac_items_aws(spark, sf):
+    d = _items(spark, sf, {a: "https://h/" for a in ("swir22", "nir08", "blue", "scl")}, {})
+    return S.resolve_bands(d, "aws").select("id", "bands.b12", "bands.b8a", "bands.b02", "bands.scl")
+
+
+@query("SELECT id, concat('https://h/', id, '_B12_20m.jp2') AS b12, concat('https://h/', id, '_SCL_20m.jp2') AS scl, concat('https://h/', id, '_SCL_20m.jp2') AS mask, cast(NULL AS varchar) AS b10, concat('https://h/', id, '_product_metadata.jp2') AS product_metadata FROM fx_scenes")
+def stac_items_cdse(spark, sf):
+    d = _items(spark, sf, {a: "https://h/" for a in ("B12_20m", "SCL_20m", "B12", "product_metadata")}, {})
+    return S.resolve_bands(d, "cdse").select("id", "bands.b12", "bands.scl", "bands.b10", "bands.product_metadata").join(S.mask_links(d), "id")
+
+
+@query("SELECT 'cdse-l1c' AS source, 'https://stac.dataspace.copernicus.eu/v1' AS api, 'l1c' AS level, 'cdse' AS twin UNION ALL SELECT 'cdse', 'https://stac.dataspace.copernicus.eu/v1', 'l2a', 'cdse' UNION ALL SELECT 'aws-l1c', 'https://earth-search.aws.element84.com/v1', 'l1c', 'aws' UNION ALL SELECT 'aws', 'https://earth-search.aws.element84.com/v1', 'l2a', 'aws'")
+def source_profiles(spark, sf):
+    return spark.createDataFrame([(x, stac.endpoint(x), stac.level_of(x), stac.mask_source(x)) for x in S.ASSETS], "source string, api string, level string, twin string")
+
+
+@query("SELECT cast(row_number() OVER (ORDER BY date, id) AS int) AS place, id FROM fx_scenes")
+def scenes_by_time(spark, sf):
+    from ..operators.review import numbered
+
+    d = over(spark, sf, "fx_scenes").select("id", F.col("date").alias("datetime"))
+    return numbered(d, "datetime", "id").select("place", "id")
+
+
+@query("""SELECT id FROM fx_detections JOIN (SELECT n_nationkey AS k, 50.99e0 + n_nationkey*1e-3 AS west, 24.99e0 + n_nationkey*1e-3 AS south, n_nationkey % 9 = 0 AS whole FROM nation) a ON user_id % 25 = k
+WHERE whole OR (lon BETWEEN west AND west + 3e-2 AND lat BETWEEN south AND south + 2e-2)""".replace("user_id", "site_key"))
+def clip_to_area(spark, sf):
+    k = F.col("n_nationkey")
+    areas = table(spark, sf, "nation").select(k.cast("long").alias("area"), (50.99 + k * 1e-3).alias("west"), (24.99 + k * 1e-3).alias("south"), (k % 9 == 0).alias("full_tile"))
+    areas = areas.withColumns({"east": F.col("west") + 3e-2, "north": F.col("south") + 2e-2})
+    d = over(spark, sf, "fx_detections").select("id", "lon", "lat", (F.col("site_key") % 25).cast("long").alias("area"))
+    return S.within_area(d, areas).select("id")
+
+
+@query("""SELECT id, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE (o_orderkey % 700)/1e1 END AS sun, CASE WHEN o_orderkey % 3 = 1 THEN NULL ELSE (o_orderkey % 130)/1e1 END AS view FROM fx_scenes""")
+def zenith_angles(spark, sf):
+    k = F.col("o_orderkey")
+    number = lambda n: (k % n / 10.0).cast("string")
+    sun = F.when(k % 3 == 0, "").otherwise(F.concat(F.lit('<Mean_Sun_Angle><ZENITH_ANGLE unit="deg"> '), number(700), F.lit(" </ZENITH_ANGLE></Mean_Sun_Angle>")))
+    view = lambda band, n: F.concat(F.lit(f'<Mean_Viewing_Incidence_Angle bandId="{band}"><ZENITH_ANGLE>'), n, F.lit("</ZENITH_ANGLE></Mean_Viewing_Incidence_Angle>"))
+    xml = F.concat(F.lit("<A>"), sun, view(1, F.lit("99")), F.when(k % 3 == 1, "").otherwise(view(12, number(130))), F.lit("</A>"))
+    a, b = text.zenith_angles(xml)
+    return over(spark, sf, "fx_scenes").select("id", a.alias("sun"), b.alias("view"))
+
+
+@query("SELECT vec_id, cast(list_position(embedding[1:4], list_max(embedding[1:4])) - 1 AS int) AS class FROM embeddings")
+def argmax_class(spark, sf):
+    return table(spark, sf, "embeddings").select("vec_id", text.argmax(F.slice("embedding", 1, 4)).alias("class"))

@@ -219,10 +219,8 @@ def triage_flags(spark, sf):
 
 @query(_TRIAGE + " SELECT cast(row_number() OVER (ORDER BY rejects <> '', score DESC, key) AS int) AS place, key, CASE WHEN rejects <> '' THEN 'reject' ELSE 'keep' END AS verdict FROM v")
 def triage_rank(spark, sf):
-    from pyspark.sql import Window
-
-    d = R.triage(over(spark, sf, "fx_candidates"))
-    return d.select(F.row_number().over(Window.orderBy(F.size("rejects") > 0, F.desc("score"), "key")).alias("place"), "key", "verdict")
+    d = R.triage(over(spark, sf, "fx_candidates")).select("key", "verdict", "score", "rejects")
+    return R.numbered(d, F.size("rejects") > 0, F.desc("score"), "key").select("place", "key", "verdict")
 
 
 @query("SELECT key, date, targets FROM fx_candidates JOIN (SELECT date, count(DISTINCT target) AS targets FROM fx_candidates GROUP BY date) USING (date)")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import importlib
 import json
+import threading
 import time
 from collections.abc import Callable, Iterator
 
@@ -18,6 +19,22 @@ from pyspark.sql.types import StructType
 #: Items a page by level, pause between requests, attempts and their longest waits in seconds.
 PAGE, PAUSE, ATTEMPTS = {"l1c": 1000, "l2a": 200}, 0.25, 7
 WAITS = (1, 2, 4, 8, 16, 16)
+#: Catalogue end points.
+ENDPOINTS = {"cdse": "https://stac.dataspace.copernicus.eu/v1", "aws": "https://earth-search.aws.element84.com/v1"}
+
+
+def endpoint(source: str) -> str:
+    """Where the catalogue of a source (``cdse-l1c``, ``cdse``, ``aws-l1c``, ``aws``) answers."""
+    return ENDPOINTS["cdse" if source.startswith("cdse") else "aws"]
+
+
+def level_of(source: str) -> str:
+    return "l1c" if source.endswith("l1c") else "l2a"
+
+
+def mask_source(source: str) -> str:
+    """The source on the same catalogue whose scenes have a cloud mask."""
+    return "cdse" if source.startswith("cdse") else "aws"
 
 
 class Refused(Exception):
@@ -41,15 +58,38 @@ def body(collection: str, boxes: list[tuple], start: str, end: str, limit: int)
     return out | {"intersects": {"type": "MultiPolygon", "coordinates": [ring(*b) for b in boxes]}}
 
 
+class Pace:
+    """At least ``PAUSE`` between the requests of this process, whichever search makes them, and their number."""
+
+    def __init__(self) -> None:
+        self.lock, self.last, self.requests = threading.Lock(), float("-inf"), 0
+
+    def wait(self, sleep: Callable[[float], None], waited: float = 0.0) -> None:
+        """Pauses if the last request was just now and its caller has not ``waited`` since."""
+        with self.lock:
+            if max(time.monotonic() - self.last, waited) < PAUSE:
+                sleep(PAUSE)
+            self.last = time.monotonic()
+            self.requests += 1
+
+
+PACE = Pace()
+
+
 def request(post: Callable[[dict], dict], payload: dict, sleep: Callable[[float], None] = time.sleep) -> dict:
-    """A page, after up to seven attempts; other errors, and answers that are not JSON objects, end the search."""
+    """A page, after up to seven attempts: lost connections and the statuses of ``retryable`` are tried again, after the
+    wait that the server states or else ever longer ones.  Other statuses, and answers that are not JSON objects, end the search."""
+    waited = 0.0
     for attempt in range(ATTEMPTS):
+        PACE.wait(sleep, waited)
         try:
             page = post(payload)
-        except Refused as e:
-            if not retryable(e.status) or attempt + 1 == ATTEMPTS:
+        except (Refused, OSError, EOFError) as e:  # OSError: connections refused, reset and timed out
+            refused = isinstance(e, Refused)
+            if refused and not retryable(e.status) or isinstance(e, FileNotFoundError) or attempt + 1 == ATTEMPTS:
                 raise
-            sleep(e.wait if e.wait is not None else WAITS[attempt])
+            waited = e.wait if refused and e.wait is not None else WAITS[attempt]
+            sleep(waited)
             continue
         if not isinstance(page, dict):
             raise ValueError("the catalogue's answer is not a page")
@@ -66,7 +106,6 @@ def pages(post: Callable[[dict], dict], payload: dict, sleep: Callable[[float],
         if following is None:
             return
         payload = payload | following.get("body", {}) if following.get("merge", True) else following["body"]
-        sleep(PAUSE)
 
 
 def folder_transport(path: str) -> Callable[[dict], dict]:

@@ -224,3 +224,24 @@ def test_grids_of_20_metres_and_padding():
     fine = K.bilinear_20m(a, (6, 8))
     assert fine.shape == (6, 8) and fine[0, 0] == a[0, 0] and fine[-1, -1] == a[-1, -1] and fine.mean() == pytest.approx(a.mean())
     assert K.pad_to(np.ones((2, 20, 33))).shape == (2, 32, 64) and K.decimate(a).tolist() == [[0, 2], [8, 10]]
+
+
+def test_cloud_cells_cover_the_blocks_of_a_scene(spark):
+    """Cells under a window of a synthetic mask: cloud in its western half, as counted pixel by pixel."""
+    place = spark.createDataFrame([("s", 500_000.0, 2_800_000.0, 20.0, 20.0, 32639, 0, 0, 60, 40)], "scene string, min_x double, max_y double, res_x double, res_y double, epsg int, x0 int, y0 int, x1 int, y1 int")
+    mask = spark.range(60 * 40).selectExpr("'s' as scene", "cast(id div 60 as bigint) as r", "cast(id % 60 as bigint) as c").withColumn("scl", F.when(F.col("c") < 30, 9).otherwise(4))
+    rows = {r.key: r for r in A.cloud_cells(place, mask).collect()}
+    assert 90 <= len(rows) <= 140  # 1200 m x 800 m of cells of about 100 m x 111 m, edges included
+    shares = [r.cloud for r in sorted(rows.values(), key=lambda r: r.i)]
+    assert shares[0] == 1.0 and shares[-1] == 0.0 and {x for x in shares} != {0.0, 1.0}
+
+
+def test_footprints_and_what_fits_a_chip(spark):
+    chip = spark.createDataFrame([(500_000.0, 2_800_000.0, 200, 200, 32639)], "min_x double, max_y double, width int, height int, epsg int")
+    ring = chip.select(A.pixel_polygon(F.col("min_x"), F.col("max_y"), F.col("epsg"), F.lit(0), F.lit(0), F.col("width"), F.col("height")).alias("g")).first().g.coordinates[0]
+    assert len(ring) == 5 and ring[0] == ring[4] and ring[0][0] < ring[1][0] and ring[0][1] < ring[2][1]
+    (w, s), (e, n) = (min(p[k] for p in ring) for k in (0, 1)), (max(p[k] for p in ring) for k in (0, 1))
+    d = 1e-4
+    boxes = [(w + d, s + d, e - d, n - d, False, True), (w + d, s + d, e + d, n - d, False, False), (w + d, s + d, e - d, n - d, True, False)]
+    areas = spark.createDataFrame(boxes, "west double, south double, east double, north double, full_tile boolean, want boolean")
+    assert all(r.got == r.want for r in areas.crossJoin(chip).select("want", A.fits_chip(areas).alias("got")).collect())

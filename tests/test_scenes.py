@@ -166,3 +166,71 @@ def test_tables_and_lists(spark, tmp_path):
     spark.range(5).select(F.col("id").cast("string").alias("id"), F.lit(1.0).alias("lon"), F.concat(F.lit("2024-01-0"), (F.col("id") + 1).cast("string")).alias("date")).write.parquet(str(tmp_path / "d"))
     d = records.read_detections(spark, str(tmp_path / "d"), "2024-01-02", "2024-01-04")
     assert d.count() == 3 and "glint_score" in d.columns
+
+
+def test_lost_connections_are_tried_again_and_requests_are_paced(monkeypatch):
+    from emberline.sources import stac
+
+    waits, answers = [], [ConnectionResetError(), TimeoutError(), stac.Refused(429, 2.0), {"features": []}]
+
+    def post(payload):
+        out = answers.pop(0)
+        if isinstance(out, Exception):
+            raise out
+        return out
+
+    monkeypatch.setattr(stac, "PACE", stac.Pace())
+    assert stac.request(post, {}, waits.append) == {"features": []}
+    assert waits == [1, 2, 2.0] and stac.PACE.requests == 4
+    stac.request(lambda p: {}, {}, waits.append)
+    assert waits == [1, 2, 2.0, stac.PAUSE]
+    answers[:] = [ConnectionResetError()] * 7
+    with pytest.raises(ConnectionResetError):
+        stac.request(post, {}, waits.append)
+    with pytest.raises(ValueError):
+        stac.request(lambda p: "<html>", {}, waits.append)
+
+
+def test_only_the_flat_axis_grows():
+    assert S.widen((1.0, 2.0, 1.0, 3.0)) == (1.0 - 1e-6, 2.0, 1.0 + 1e-6, 3.0)
+    assert S.widen((1.0, 2.0, 2.0, 3.0)) == (1.0, 2.0, 2.0, 3.0)
+
+
+def test_a_clear_scene_behind_many_hazy_ones_is_chosen(spark):
+    rows = [("t", f"hazy{k:02d}", 100 + k, 10.0, 0.0) for k in range(40)] + [("t", "clear", 900, 96.0, 0.5)]
+    rows += [("u", f"c{k:02d}", 100 + k, 99.0, 1.0 - k / 100) for k in range(30)]
+    c = spark.createDataFrame(rows, "target_id string, background_id string, gap_s long, clear_percent double, dissimilarity double")
+    assert {r.target_id: r.background_id for r in S.choose_background(c).collect()} == {"t": "clear", "u": "c19"}
+
+
+def test_area_keys_do_not_depend_on_how_the_json_is_written(spark):
+    from emberline.functions import text
+
+    d = spark.createDataFrame([('{"type":"Point","coordinates":[1.5,2]}',), ('{ "coordinates": [1.5, 2], "type": "Point" }',), ('{"coordinates":[1.5,3],"type":"Point"}',)], "g string")
+    keys = [r[0] for r in d.select(text.area_key(F.lit("a b"), F.col("g"))).collect()]
+    assert keys[0] == keys[1] != keys[2]
+    import hashlib
+
+    assert keys[0] == "a_b-" + hashlib.sha256(b'{"coordinates":[1.5,2],"type":"Point"}').hexdigest()[:8]
+
+
+def test_methods_are_known_by_all_their_parameters():
+    from emberline.functions import text
+
+    a, b = text.method("swir", "e/1", {"peak": 0.5, "pixels": 3}), text.method("swir", "e/1", {"pixels": 3, "peak": 0.5})
+    assert a["fingerprint"] == b["fingerprint"] != text.method("swir", "e/1", {"peak": 0.6, "pixels": 3})["fingerprint"]
+
+
+def test_records_of_two_detectors_and_methods_stay(spark):
+    d = spark.createDataFrame([("s1", 1.0, 2.0, 0.9)], "scene string, lon double, lat double, max_b12 double")
+    path, rows = scratch(spark, "records"), records.flare_features(d)
+    for detector, method in (("flares", "f0"), ("clouds", "c0"), ("flares", "f1"), ("flares", "f0")):
+        records.write_records(records.analysis_records(rows, "own/v1", detector, method), path)
+    got = sorted((r.detector, r.fingerprint) for r in records.read_records(spark, path).collect())
+    assert got == [("clouds", "c0"), ("flares", "f0"), ("flares", "f1")]
+
+
+def test_review_as_csv(spark, tmp_path):
+    d = spark.createDataFrame([("k", ["a", "b"], 1.5), ("l", [], None)], "key string, flags array<string>, score double")
+    records.write_csv(d, str(tmp_path / "review"))
+    assert sorted((r.key, r.flags, r.score) for r in spark.read.option("header", True).csv(str(tmp_path / "review")).collect()) == [("k", "a;b", "1.5"), ("l", None, None)]

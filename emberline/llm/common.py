@@ -14,11 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(df: DataFrame, most: int = 1000) -> DataFrame:
-    """``df``, whose session hands Python at most ``most`` rows at a time from here on: whole texts are large rows."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(df.sparkSession.conf.get(name)) > most:
-        df.sparkSession.conf.set(name, most)
+def small_batches(df: DataFrame, most: int = 1000, most_bytes: int = 64 << 20) -> DataFrame:
+    """``df``, whose session hands Python at most ``most`` rows and about ``most_bytes`` at a time from here on: whole texts are large rows."""
+    for name, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", most), ("spark.sql.execution.arrow.maxBytesPerBatch", most_bytes)):
+        now = str(df.sparkSession.conf.get(name)).removesuffix("b")
+        if not now.isdigit() or int(now) > value or int(now) <= 0:
+            df.sparkSession.conf.set(name, value)
     return df
 
 
@@ -36,14 +37,21 @@ def in_worker(key, make):
     return _slot[key]
 
 
+#: Hadoop's names of stores that pyarrow knows under another.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "wasbs": "abfs"}
+
+
 def _store(path: str):
     from pyarrow import fs
 
-    if "://" not in path and not path.startswith("file:"):
+    scheme, _, rest = path.partition(":")
+    if not rest or "/" in scheme:
         return fs.LocalFileSystem(), path
-    if path.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(path)
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    if scheme == "dbfs":  # mounted on every node
+        return fs.LocalFileSystem(), "/dbfs/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(SCHEMES.get(scheme, scheme) + ":" + rest)
 
 
 def open_output(path: str):

@@ -45,11 +45,35 @@ def masked_crc(data: bytes) -> int:
     return ((c >> 15 | c << 17) + 0xA282EAD8) & 0xFFFFFFFF
 
 
+def _parts(step: dict | None, kind: str) -> list[dict]:
+    """The steps of a normalizer or pre-tokenizer, in order."""
+    return [] if step is None else step[kind] if step["type"] == "Sequence" else [step]
+
+
+def drops_space(settings: dict) -> bool:
+    """Whether a tokenizer's file says that no step looks across white space, so that chunks can be encoded alone.
+
+    That is so if normalizers only compose, lower and fold white space, if the text is cut into matches of a pattern that
+    takes in no white space, and if bytes are then spelled without a space before them.
+    """
+    for x in _parts(settings["normalizer"], "normalizers"):
+        if x["type"] not in ("NFC", "Lowercase") and (x["type"], x.get("pattern"), x.get("content")) != ("Replace", {"Regex": r"\s+"}, " "):
+            return False
+    steps = _parts(settings["pre_tokenizer"], "pretokenizers")
+    if [x["type"] for x in steps] != ["Split", "ByteLevel"] or (steps[0]["behavior"], steps[0]["invert"]) != ("Removed", True):
+        return False
+    bare = re.sub(r"\[\^\\s[^\]]*\]", "", steps[0]["pattern"].get("Regex", " "))  # less classes that leave white space out
+    if re.search(r"\s|\\s|\\S|\\W|\.|\[\^|\(\?[=!<]", bare) or steps[1]["add_prefix_space"] or steps[1]["use_regex"]:
+        return False
+    return not any(x["lstrip"] or x["rstrip"] or x["normalized"] or x["single_word"] or any(c.isspace() for c in x["content"]) for x in settings["added_tokens"])
+
+
 class ChunkEncoder:
-    """Encodes texts by their chunks between ASCII spaces, each distinct chunk once.
+    """The library's ids of any text with any tokenizer, by the shortest way that the tokenizer's file allows.
 
-    Normalisation, splitting and merges of a tokenizer that drops white space never look across it, so the ids
-    of a text are the ids of its chunks in order.  ``tests/llm`` holds this against the tokenizers library.
+    Where its steps never look across white space (``drops_space``), the ids of a text are those of its chunks between ASCII
+    spaces in order, and each distinct chunk is encoded once; words of letters are made from the plain word where the file
+    lowers them.  With any other tokenizer each text is encoded whole.  ``tests/llm`` holds all ways against the library.
     """
 
     def __init__(self, path: str, cap: int = 250_000, longest: int = 8):
@@ -59,7 +83,12 @@ class ChunkEncoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[bytes, bytes] = {}  # chunks of at most ``longest`` bytes: longer ones hardly ever come again
         self.longest = longest
-        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        settings = json.loads(self.tokenizer.to_str())
+        self.chunked = drops_space(settings)
+        lowers = any(x["type"] == "Lowercase" for x in _parts(settings["normalizer"], "normalizers"))
+        suffix = settings["model"].get("end_of_word_suffix") if self.chunked and lowers else None
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, k in self.tokenizer.get_vocab().items() if suffix else ():
             self.ends[k] = token.endswith(suffix)
@@ -133,6 +162,8 @@ class ChunkEncoder:
         return out
 
     def _encode(self, texts: list[bytes], step: int) -> list[bytes]:
+        if not self.chunked:
+            return [np.array(self.tokenizer.encode(x.decode("utf-8", "replace"), add_special_tokens=False).ids, self.dtype).tobytes() for x in texts]
         if len(texts) == 1 and len(texts[0]) > 2 * step:
             parts, at, text = [], 0, texts[0]
             while at < len(text):
@@ -183,12 +214,13 @@ def write_token_records(docs: DataFrame, path: str, tokenizer: str, end_id: int
 
     Returns the manifest: shard, part, path, n_records, n_tokens, n_bytes; (shard, part) ascends with doc_id.
     A null text counts as empty: its record holds ``end_id`` alone.  Rows with equal ids all get a record, side by
-    side; rows without an id come first.  An empty table gives an empty manifest.  Other columns are not read.
+    side in order of their texts' hashes, by which they are dealt over shards too; rows without an id come first.  An empty table gives an empty manifest.  Other columns are not read.
     ``tokenizer`` is a file that every node has.
     """
     spark = small_batches(docs).sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = (rows.repartitionByRange(partitions, "doc_id") if partitions else rows.repartitionByRange("doc_id")).sortWithinPartitions("doc_id")
+    order = ("doc_id", F.xxhash64("text"))
+    rows = (rows.repartitionByRange(partitions, *order) if partitions else rows.repartitionByRange(*order)).sortWithinPartitions(*order)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

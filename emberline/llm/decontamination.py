@@ -7,29 +7,28 @@ by word in both directions and counts if the shared run is a whole window.  With
 length is the window's 10 words.  An item of fewer words is one window; for each such length n that occurs, the
 documents keep all n-grams (k = n, w = 1), which guarantees n.
 
-The benchmark's fingerprints are cut into blocks of bounded size, written to the shared folder.  Each task holds
-one block at a time and passes its documents by all of them, so no benchmark is too large for a worker.
+Documents and items meet in a join on the kept hashes.  Before it, a Bloom filter of fixed size over the benchmark's hashes
+drops what can't meet anything, so that only candidate texts move; a benchmark of any size only lets more through.  A hash
+that very many texts hold is dealt over salts by its count.  Each pair of a text and an item is then extended by itself.
 """
 
 from __future__ import annotations
 
 import hashlib
-import pickle
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_worker, open_input, open_output, scratch, small_batches, table
+from .common import in_worker, saved, small_batches, table
 
 WINDOW, K, W = 10, 5, 6
 #: A-Z become a-z; of the ASCII characters only 0-9 and a-z belong to words, of the others all.
 _WORDS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
-LEAK = "n_words long, n_hit long, item_ids array<string>, hit array<int>"
+#: Bits of the Bloom filter (8 MB), and texts of one hash that meet its items under one salt.
+FILTER_BITS, TEXTS_A_SALT = 26, 8192
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -137,60 +136,104 @@ class Block:
                         found.setdefault(d, set()).add(self.ids[item])
 
 
-def write_blocks(benchmark: DataFrame, path: str, block_bytes: int = 8 << 20) -> list[str]:
-    """Fingerprints of the benchmark as files of at most about ``block_bytes`` of text each; one item is never cut."""
-    rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        paths, held, size = [], [], 0
-
-        def close() -> None:
-            name = f"{path}/{uuid.uuid4().hex}.block"
-            with open_output(name) as f:
-                f.write(pickle.dumps(Block(held), protocol=5))
-            paths.append(name)
+def fingerprints(benchmark: DataFrame) -> DataFrame:
+    """(item, item_id, text, n, hashes): a number, the length class and the distinct kept hashes of every item with words."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for item_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held.append((item_id, text))
-                size += len(text or "")
-                if size >= block_bytes:
-                    close()
-                    held, size = [], 0
-        if held:
-            close()
-        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string())], names=["path"])
-
-    return sorted(r.path for r in rows.repartition(1 + total // block_bytes, "item_id").mapInArrow(write, "path string").collect())
-
-
-_held: dict[str, Block] = {}
-
+            lengths, kept = [], []
+            for text in batch.column(2):
+                words = words_of(text.as_py())
+                n = min(WINDOW, len(words))
+                k, w = (K, W) if n == WINDOW else (n, 1)
+                h = grams(hash_words(words), k) if n else np.zeros(0, np.uint64)
+                lengths.append(n)
+                kept.append(np.unique(h[winnow(h, w)]).view(np.int64))
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in kept])]).astype(np.int32)
+            listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int64), *kept])))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lengths, pa.int32()), listed], names=["item", "item_id", "text", "n", "hashes"])
+
+    rows = benchmark.select(F.monotonically_increasing_id().alias("item"), F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
+    return saved(rows.mapInArrow(run, "item long, item_id string, text string, n int, hashes array<long>").filter("n > 0"), "benchmark-fingerprints")
+
+
+def bloom(items: DataFrame) -> np.ndarray:
+    """One bit for each of ``FILTER_BITS`` leading bits that a hash of ``items`` has: at most 2**20 rows reach the driver."""
+    place = F.shiftrightunsigned("hash", 64 - FILTER_BITS)
+    bits = items.select(F.explode("hashes").alias("hash")).select(place.alias("p")).groupBy(F.expr("p div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("bits"))
+    out = np.zeros(1 << FILTER_BITS - 6, np.uint64)
+    found = bits.toArrow()
+    out[found["word"].to_numpy()] = np.ascontiguousarray(found["bits"].to_numpy()).view(np.uint64)
+    return out
 
-def _block(path: str) -> Block:
-    """The block of that path; a worker keeps one."""
-    if path not in _held:
-        _held.clear()
-        with open_input(path) as f:
-            _held[path] = pickle.loads(f.read())
-    return _held[path]
 
+def candidates(texts: DataFrame, items: DataFrame, step: int = 1 << 20) -> DataFrame:
+    """(key, text, n, hash) of texts with kept hashes that the filter lets through; ``step`` is the bytes of text at hand."""
+    shared = texts.sparkSession.sparkContext.broadcast((bloom(items), sorted(r.n for r in items.select("n").distinct().collect())))  # 8 MB, ten numbers
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, lengths = shared.value
+
+        def found(held: list[str]) -> pa.RecordBatch:
+            split = [words_of(t) for t in held]
+            bounds = np.concatenate([[0], np.cumsum([len(x) for x in split])]).astype(np.int64)
+            hashes = hash_words([x for part in split for x in part])
+            places, length, kept = [], [], []
+            for n in lengths:
+                k, w = (K, W) if n == WINDOW else (n, 1)
+                h = grams(hashes, k)
+                at = winnow(h, w)
+                p = h[at] >> np.uint64(64 - FILTER_BITS)
+                at = at[(bits[p >> np.uint64(6)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)]
+                d = np.searchsorted(bounds, at, "right") - 1
+                whole = at + k <= bounds[d + 1]  # grams within one text; what winnowing keeps of a window that spans two is one more
+                places.append(d[whole])
+                length.append(np.full(int(whole.sum()), n, np.int32))
+                kept.append(h[at[whole]])
+            d, n, h = np.concatenate([np.zeros(0, np.int64), *places]), np.concatenate([np.zeros(0, np.int32), *length]), np.concatenate([np.zeros(0, np.uint64), *kept]).view(np.int64)
+            rows = np.unique(np.stack([d, n.astype(np.int64), h]), axis=1) if len(d) else np.zeros((3, 0), np.int64)
+            docs, start, count = np.unique(rows[0], return_index=True, return_counts=True)
+            offsets = pa.array(np.append(start, len(rows[0])).astype(np.int32))
+            raw = [held[x] for x in docs.tolist()]
+            keys = [hashlib.md5(t.encode()).hexdigest() for t in raw]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.string()), pa.array(raw, pa.string()), pa.ListArray.from_arrays(offsets, pa.array(rows[1].astype(np.int32))), pa.ListArray.from_arrays(offsets, pa.array(rows[2]))], names=["key", "text", "n", "hash"]
+            )
 
-def leaks(texts: list[str | None], paths: list[str]) -> list[tuple[int, int, list[str], list[int]]]:
-    """n_words, n_hit, sorted item ids and the hit words' numbers of each text."""
-    split = [words_of(t) for t in texts]
-    words = [x for part in split for x in part]
-    bounds = np.concatenate([[0], np.cumsum([len(x) for x in split])]).astype(np.int64)
-    hashes = hash_words(words)
-    hit, found = np.zeros(len(words), bool), {}
-    for path in paths:
-        _block(path).match(words, hashes, bounds, hit, found)
-    out = []
-    for d, part in enumerate(split):
-        at = np.flatnonzero(hit[bounds[d] : bounds[d + 1]]).tolist() if d in found else []
-        out.append((len(part), len(at), sorted(x for x in found.get(d, ()) if x is not None), at))
-    return out
+        for batch in batches:
+            held, size = [], 0
+            for text in batch.column(0):
+                text = text.as_py()
+                if not text:
+                    continue
+                held.append(text)
+                size += len(text)
+                if size >= step:
+                    yield found(held)
+                    held, size = [], 0
+            if held:
+                yield found(held)
+
+    rows = saved(texts.mapInArrow(run, "key string, text string, n array<int>, hash array<long>"), "leak-candidates")
+    return rows.dropDuplicates(["key"])
+
+
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, text, item_id, item_text), a key's together: with each item the words of the text that stand in its windows."""
+    known: tuple[str | None, list, np.ndarray] = (None, [], np.zeros(0, np.uint64))
+    for batch in batches:
+        out = []
+        for key, text, item_id, item in zip(*batch.columns):
+            key = key.as_py()
+            if known[0] != key:
+                words = words_of(text.as_py())
+                known = key, words, hash_words(words)
+            hit = np.zeros(len(known[1]), bool)
+            Block([(item_id.as_py(), item.as_py())]).match(known[1], known[2], np.array([0, len(hit)]), hit, {})
+            if hit.any():
+                out.append((key, item_id.as_py(), np.flatnonzero(hit).tolist()))
+        cols = list(zip(*out)) or [[]] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.list_(pa.int32())))], names=["key", "item_id", "hit"])
 
 
 def with_leaks(docs: DataFrame, benchmark: DataFrame, step: int = 1 << 20) -> DataFrame:
@@ -198,26 +241,30 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, step: int = 1 << 20) -> Da
 
     ``hit`` numbers the words that stand in a window of an item.  Null and empty texts, and texts without words,
     have no words and no hits; items without words match nothing; an item without an id can hit but is not listed;
-    items that share an id are listed once.  Repeated rows each get their answer; a column named ``leak`` is
+    items that share an id are listed once.  Repeated rows each get their answer, found once; a column named ``leak`` is
     replaced; empty tables on either side give no hits.
     """
-    paths = write_blocks(benchmark, scratch(small_batches(docs).sparkSession, "benchmark-blocks"))
-
-    @F.pandas_udf(LEAK)
-    def leak(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in series:
-            rows, held, size = [], [], 0
-            for t in texts:
-                held.append(t)
-                size += len(t or "")
-                if size >= step:
-                    rows += leaks(held, paths)
-                    held, size = [], 0
-            if held:
-                rows += leaks(held, paths)
-            yield pd.DataFrame(rows, columns=["n_words", "n_hit", "item_ids", "hit"])
-
-    return docs.withColumn("leak", leak(F.col("text").cast("string")))
+    items = fingerprints(small_batches(benchmark))
+    found = candidates(docs.select(F.col("text").cast("string").alias("text")), items, step)
+    hashes = saved(found.select("key", F.explode(F.arrays_zip("n", "hash")).alias("x")).select("key", F.col("x.n").alias("n"), F.col("x.hash").alias("hash")), "leak-hashes")
+    hot = hashes.groupBy("n", "hash").agg(F.ceil(F.count("*") / TEXTS_A_SALT).cast("int").alias("salts")).filter("salts > 1")
+    salt = F.pmod(F.xxhash64("key"), F.coalesce("salts", F.lit(1))).cast("int")
+    ours = hashes.join(hot, ["n", "hash"], "left").select("key", "n", "hash", salt.alias("salt"))
+    theirs = items.select("item", "n", F.explode("hashes").alias("hash")).join(hot, ["n", "hash"], "left")
+    theirs = theirs.select("item", "n", "hash", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt"))
+    pairs = ours.join(theirs, ["n", "hash", "salt"]).select("key", "item").distinct()
+    with_item = pairs.join(items.select("item", "item_id", F.col("text").alias("item_text")), "item")
+    rows = with_item.join(found.select("key", "text"), "key").select("key", "text", "item_id", "item_text")
+    spans = rows.repartition("key").sortWithinPartitions("key").mapInArrow(_spans, "key string, item_id string, hit array<int>")
+    merged = spans.groupBy("key").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit")))).alias("hit"))
+    leaks = saved(merged, "leaks").select(F.col("key").alias("_leak_key"), F.struct("item_ids", "hit").alias("_leak"))
+    text = F.col("text").cast("string")
+    keyed = docs.drop("leak").withColumn("_leak_key", F.md5(text.cast("binary")))
+    n_words = F.coalesce(F.regexp_count(text, F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")), F.lit(0)).cast("long")
+    none = lambda t: F.array().cast(f"array<{t}>")
+    hit = F.coalesce("_leak.hit", none("int"))
+    leak = F.struct(n_words.alias("n_words"), F.size(hit).cast("long").alias("n_hit"), F.coalesce("_leak.item_ids", none("string")).alias("item_ids"), hit.alias("hit"))
+    return keyed.join(leaks, "_leak_key", "left").withColumn("leak", leak).drop("_leak_key", "_leak")
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,6 +18,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -236,13 +237,13 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.list_(pa.int32())))], names=["key", "item_id", "hit"])
 
 
-def with_leaks(docs: DataFrame, benchmark: DataFrame, step: int = 1 << 20) -> DataFrame:
+def with_leaks(docs: DataFrame, benchmark: DataFrame, step: int = 1 << 20, most_bytes: int = 64 << 20) -> DataFrame:
     """Adds ``leak``: struct<n_words, n_hit, item_ids, hit> to every row of ``docs``.
 
     ``hit`` numbers the words that stand in a window of an item.  Null and empty texts, and texts without words,
     have no words and no hits; items without words match nothing; an item without an id can hit but is not listed;
     items that share an id are listed once.  Repeated rows each get their answer, found once; a column named ``leak`` is
-    replaced; empty tables on either side give no hits.
+    replaced; empty tables on either side give no hits.  The answers of texts with hits are broadcast up to ``most_bytes``.
     """
     items = fingerprints(small_batches(benchmark))
     found = candidates(docs.select(F.col("text").cast("string").alias("text")), items, step)
@@ -256,15 +257,23 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, step: int = 1 << 20) -> Da
     with_item = pairs.join(items.select("item", "item_id", F.col("text").alias("item_text")), "item")
     rows = with_item.join(found.select("key", "text"), "key").select("key", "text", "item_id", "item_text")
     spans = rows.repartition("key").sortWithinPartitions("key").mapInArrow(_spans, "key string, item_id string, hit array<int>")
-    merged = spans.groupBy("key").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit")))).alias("hit"))
-    leaks = saved(merged, "leaks").select(F.col("key").alias("_leak_key"), F.struct("item_ids", "hit").alias("_leak"))
+    hit = F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit"))))
+    merged = spans.groupBy("key").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"), hit.alias("hit"))
+    leaks = saved(merged.select(F.col("key").alias("_leak_key"), F.size("hit").cast("long").alias("_n_hit"), F.col("item_ids").alias("_item_ids"), F.col("hit").alias("_hit")), "leaks")
+    n, hits, ids = leaks.agg(F.count("*"), F.coalesce(F.sum("_n_hit"), F.lit(0)), F.coalesce(F.sum(F.size("_item_ids")), F.lit(0))).first()
+    if 64 * n + 4 * hits + 64 * ids <= most_bytes:  # beyond that the rows with leaks are joined like any
+        leaks = F.broadcast(leaks)
+
+    @F.pandas_udf("long")
+    def counted(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            yield pd.Series([len(words_of(t)) for t in batch], dtype="int64")
+
     text = F.col("text").cast("string")
-    keyed = docs.drop("leak").withColumn("_leak_key", F.md5(text.cast("binary")))
-    n_words = F.coalesce(F.regexp_count(text, F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")), F.lit(0)).cast("long")
+    keyed = docs.drop("leak").withColumn("_leak_key", F.md5(text.cast("binary"))).withColumn("_n_words", counted(text))
     none = lambda t: F.array().cast(f"array<{t}>")
-    hit = F.coalesce("_leak.hit", none("int"))
-    leak = F.struct(n_words.alias("n_words"), F.size(hit).cast("long").alias("n_hit"), F.coalesce("_leak.item_ids", none("string")).alias("item_ids"), hit.alias("hit"))
-    return keyed.join(leaks, "_leak_key", "left").withColumn("leak", leak).drop("_leak_key", "_leak")
+    leak = F.struct(F.col("_n_words").alias("n_words"), F.coalesce("_n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("_item_ids", none("string")).alias("item_ids"), F.coalesce("_hit", none("int")).alias("hit"))
+    return keyed.join(leaks, "_leak_key", "left").withColumn("leak", leak).drop("_leak_key", "_n_words", "_n_hit", "_item_ids", "_hit")
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

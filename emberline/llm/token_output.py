@@ -150,7 +150,7 @@ class ChunkEncoder:
         known.update((c, x) for c, x in out.items() if len(c) <= self.longest)
         return out
 
-    def encode_many(self, texts: list[bytes], step: int = 1 << 21) -> list[bytes]:
+    def encode_many(self, texts: list[bytes], step: int = 1 << 22) -> list[bytes]:
         """Ids of each text as bytes of ``dtype``; longer texts are taken in pieces that end at a space."""
         out: list[bytes] = []
         start, held = 0, 0

@@ -113,14 +113,19 @@ class LineField:
         return out[::-1]
 
 
-def train(texts: list[str], rounds: int = 90, longest: int = 200, ridge: float = 1e-3) -> LineField:
-    """Maximum likelihood with the labels of unseeded lines summed out, by Adam on padded sequences."""
-    docs = [line_features(t) for t in texts]
-    docs = [d for d in docs if 0 < len(d[0]) <= longest]
+def train(texts: list[str], rounds: int = 90, longest: int = 200, most_pieces: int = 4000, ridge: float = 1e-3) -> LineField:
+    """Maximum likelihood with the labels of unseeded lines summed out, by Adam on padded sequences.
+
+    A document of more than ``longest`` lines is cut into pieces of that, each a sequence of its own.  Of more than
+    ``most_pieces`` sequences those at even steps are trained on, which bounds the driver's arrays.
+    """
+    docs = [d for d in map(line_features, texts) if d[0]]
     if not docs:
         return LineField((1.0,) * 4 + (0.0,) * (len(FEATURES) - 4), ((1.0, 0.0), (0.0, 1.0)))
     shared = Counter(line for d in docs for line in set(d[2]))
     common = {x for x, n in shared.items() if n >= max(3, len(docs) // 200)}
+    docs = [[x[at : at + longest] for x in d] for d in docs for at in range(0, len(d[0]), longest)]
+    docs = docs[:: -(-len(docs) // most_pieces)]
     top, n = max(len(d[0]) for d in docs), len(docs)
     x, lab, here = np.zeros((top, n, len(FEATURES))), np.full((top, n), -1), np.zeros((top, n), bool)
     for i, (bits, _, lines) in enumerate(docs):

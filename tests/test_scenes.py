@@ -255,3 +255,15 @@ def test_nearest_background_is_looked_up_as_the_sql_says(spark, small, tmp_path)
     for strict in (95.0, 96.0):
         got = {tuple(r) for r in S.nearest_clear(scenes, d, strict=strict).collect()}
         assert got == {tuple(r) for r in S.choose_background(pairs, strict=strict).collect()} and len(got) > 100
+
+
+def test_background_pairs_are_whole_and_few_more_are_looked_at(spark):
+    times = [k * 190_000 - 40 * 86400 for k in range(400)] + [-86400 * 120, 0, 300, 299, 86400 * 120, 86400 * 120 + 1]
+    clouds = [None if k % 19 == 0 else float(k % 101) for k in range(len(times))]
+    scenes = spark.createDataFrame([(f"s{k}", "T", c, t) for k, (t, c) in enumerate(zip(times, clouds))], "id string, mgrs string, cloud_cover double, t long").selectExpr("id", "mgrs", "cloud_cover", "timestamp_seconds(t) as time")
+    got = sorted(map(tuple, S.background_candidates(scenes).collect()))
+    reach = 120 * 86400
+    want = sorted((f"s{a}", f"s{b}", abs(x - y)) for a, x in enumerate(times) for b, y in enumerate(times) if clouds[b] is not None and clouds[b] <= 95 and 300 <= abs(x - y) <= reach)
+    assert got == want and len(got) > 10_000
+    target, other = S.reach_sides(scenes, reach, 95.0)
+    assert target.join(other, ["mgrs", "bucket"]).count() < 1.15 * len(got)

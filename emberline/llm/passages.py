@@ -275,7 +275,7 @@ def passages(a: list[bytes], b: list[bytes], hash_a: np.ndarray, hash_b: np.ndar
     return out
 
 
-def repeated_passages(docs: DataFrame, least: int = 50, likeness: float = 0.8) -> DataFrame:
+def repeated_passages(docs: DataFrame, least: int = 50, likeness: float = 0.8, every: bool = False) -> DataFrame:
     """Rows (doc_id, other_id, start, end, other_start, other_end, n_match): words of doc_id that stand in other_id too.
 
     Texts with the same words are one class under its smallest doc_id.  Every other row of the class gives one row
@@ -283,6 +283,9 @@ def repeated_passages(docs: DataFrame, least: int = 50, likeness: float = 0.8) -
     passages of the texts that the module's text says are compared; ends are exclusive, numbers count words from 0.
     The rows do not depend on how ``docs`` is partitioned.
 
+    With ``every``, the first texts of a seed's classes are linked each with all others, not with four: no pair of them is
+    dropped, at a cost that grows with the square of a seed's classes.
+
     Null, empty and short texts have no passages.  Rows without an id are left out, as a row here is a pair of ids;
     rows that share an id are one document if their words are the same, and else each is read under that id.
     Passages within one document are not looked for.  Other columns are not read; empty tables give no rows.
@@ -298,7 +301,7 @@ def repeated_passages(docs: DataFrame, least: int = 50, likeness: float = 0.8) -
 
     held = rows.select("doc_id", "part", F.explode(F.arrays_zip("seed", "context", "at", "folded")).alias("x")).select(F.col("x.seed").alias("seed"), F.col("x.context").alias("context"), "part", "doc_id", F.col("x.at").alias("at"), F.col("x.folded").alias("folded"))
     order = ["seed", "context", "doc_id", "at", "part"]
-    followed, followed_path = saved_at(held.repartition("seed").sortWithinPartitions(*order).mapInArrow(_follow, FOLLOWED), "seed-links")
+    followed, followed_path = saved_at(held.repartition("seed").sortWithinPartitions(*order).mapInArrow(_follow_all if every else _follow, FOLLOWED), "seed-links")
     fold = ["seed", "context", "part"]
     members = rows.select("part", "doc_id", F.explode(F.arrays_zip("near_seed", "near_context", "near_at", "near_first", "near_first_at")).alias("x"))
     members = members.select(F.col("x.near_seed").alias("seed"), F.col("x.near_context").alias("context"), "part", "doc_id", F.col("x.near_at").alias("at"), F.col("x.near_first").alias("first"), F.col("x.near_first_at").alias("first_at"))
@@ -418,24 +421,45 @@ def _neighbours(group: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndar
     return i[different], j[different]
 
 
-def _follow(batches: Iterator[pa.RecordBatch], most: int = 65_536) -> Iterator[pa.RecordBatch]:
+def _all_pairs(group: np.ndarray, doc: np.ndarray, most: int = 1_000_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers (i, j) of every two rows of one group, about ``most`` at a time."""
+    n = np.arange(len(group))
+    starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else n
+    before = n - np.repeat(starts, np.diff(np.append(starts, len(group))))
+    total = np.concatenate([[0], np.cumsum(before)])
+    low = 0
+    while low < len(n):
+        high = max(low + 1, int(np.searchsorted(total, total[low] + most, "right")) - 1)
+        count = before[low:high]
+        i = np.repeat(n[low:high], count)
+        j = np.repeat((n - before)[low:high], count) + np.arange(len(i)) - np.repeat(total[low:high] - total[low], count)
+        i, j = np.where(doc[i] > doc[j], i, j), np.where(doc[i] > doc[j], j, i)
+        different = doc[i] != doc[j]
+        yield i[different], j[different]
+        low = high
+
+
+def _follow_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _follow(batches, every=True)
+
+
+def _follow(batches: Iterator[pa.RecordBatch], most: int = 65_536, every: bool = False) -> Iterator[pa.RecordBatch]:
     """Links of rows (seed, context, part, doc_id, at, folded) in order of seed, context and id; a seed may span batches.
 
     The first texts of a seed's classes are held until the seed ends; beyond ``most`` of them, those at hand are linked
-    and the ones that later classes link to are held on.
+    and the ones that later classes link to are held on.  For ``every`` link all are held, and each meets all others.
     """
     names = [x.split()[0] for x in FOLLOWED.split(", ")]
     last, head = None, (0, 0)
     held = np.zeros((3, 0), np.int64)  # seed, id, place of classes' first texts
 
-    def linked(firsts: np.ndarray) -> pa.RecordBatch:
-        i, j = _neighbours(firsts[0], firsts[1])
-        n = len(i)
-        nothing = lambda t: pa.nulls(n, t)
-        return pa.RecordBatch.from_arrays(
-            [nothing(pa.int64()), nothing(pa.int32()), nothing(pa.int64()), pa.array(firsts[1][i]), pa.array(firsts[2][i].astype(np.int32)), pa.array(firsts[1][j]), pa.array(firsts[2][j].astype(np.int32)), pa.array(np.zeros(n, bool))],
-            names=names,
-        )
+    def linked(firsts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for i, j in _all_pairs(firsts[0], firsts[1]) if every else [_neighbours(firsts[0], firsts[1])]:
+            n = len(i)
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.array(firsts[1][i]), pa.array(firsts[2][i].astype(np.int32)), pa.array(firsts[1][j]), pa.array(firsts[2][j].astype(np.int32)), pa.array(np.zeros(n, bool))],
+                names=names,
+            )
 
     for batch in batches:
         seed, context, part, doc, at, folded = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
@@ -462,14 +486,14 @@ def _follow(batches: Iterator[pa.RecordBatch], most: int = 65_536) -> Iterator[p
         open_ = held[0] == held[0, -1] if held.shape[1] else np.zeros(0, bool)
         done = held[:, ~open_]
         if done.shape[1]:
-            yield linked(done)
+            yield from linked(done)
         held = held[:, open_]
-        if held.shape[1] > most:
-            yield linked(held)
+        if held.shape[1] > most and not every:
+            yield from linked(held)
             keep = np.unique(np.concatenate([np.argsort(held[1], kind="stable")[:SMALLEST], np.arange(held.shape[1] - BEFORE, held.shape[1])]))
             held = held[:, keep]
     if held.shape[1]:
-        yield linked(held)
+        yield from linked(held)
 
 
 def collinear(links: list[tuple[int, int]], reach: int = 128, ahead: int = 16) -> bool:
@@ -490,4 +514,4 @@ def _collinear(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_passages(table(spark, sf_dir, "documents"))
+    return repeated_passages(table(spark, sf_dir, "documents"), every=True)

@@ -107,3 +107,24 @@ def test_repeated_lines_meet_in_few_anchors():
     points, runs = P.anchors(P.hash_words(a), P.hash_words(b))
     assert len(points) <= 500 and dict(zip(points, runs))[0, 0] == 1396
     assert P.passages(a, b, P.hash_words(a), P.hash_words(b), 50, 0.8)[0][4] == 1400
+
+
+def test_every_two_classes_of_a_seed_are_linked():
+    import numpy as np
+
+    r = random.Random(4)
+    group = np.repeat(np.arange(60), [r.randrange(1, 40) for _ in range(60)])
+    doc = np.array([r.randrange(10**6) for _ in group])
+    want = sorted((max(x, y), min(x, y)) for n, x in enumerate(doc.tolist()) for m, y in enumerate(doc[:n].tolist()) if group[n] == group[m] and x != y)
+    for most in (1, 7, 10**6):
+        assert sorted((int(doc[i]), int(doc[j])) for a, b in P._all_pairs(group, doc, most) for i, j in zip(a, b)) == want
+
+
+def test_a_pair_behind_many_classes_of_its_seeds_is_found(spark):
+    """Passages that share two seeds alone, which smaller ids and neighbours in their order hold too."""
+    r = random.Random(12)
+    words = fresh(r, 60)
+    rows = [(k, fresh(r, 20) + edited(random.Random(k), words, 9) + fresh(r, 20)) for k in range(40)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], SCHEMA)
+    few, all_ = ({(x.doc_id, x.other_id) for x in P.repeated_passages(docs, every=e).collect()} for e in (False, True))
+    assert few < all_ and len(all_) >= 0.9 * 40 * 39 / 2

@@ -13,7 +13,15 @@ with any other therefore has a link over that seed to a text that shares as many
 Classes that a few thousand texts at hand share are folded before the shuffle and unfolded by a join on the fold, so a
 seed in a third of all texts moves a row for thousands of texts and links do not depend on how texts are dealt.
 
-Two texts are compared if they are of one class of a seed, or if two links of theirs are collinear.  All their shared
+By leaders (``op8_passages``), the classes of a seed meet all with all, by windows: a byte for each word around the seed.
+A passage of ``least`` words or more holds a part of ``least`` to twice as many, alike in as large a share of one text's
+words, and the windows of a seed in that part bound its matches from above, so texts that the bound parts have no such part there.
+Of the others the smallest id leads, and those that meet no leader before lead in turn.  Each is compared with its leader
+and with all others that the bound admits and that have another leader.  Where a text and its leader share no passage at the
+seed, the text is compared with all others of that leader.  So two texts of one leader are either compared, or stand
+both in a passage with their leader there: near copies give rows in proportion to their number, not its square.
+
+In the plain form two texts are compared if they are of one class of a seed, or if two links of theirs are collinear.  All their shared
 k-mers become anchors, which a Fenwick tree chains in order in both texts under a linear gap cost; a chain is aligned
 word by word, between its anchors and outward from its ends, into a fuzzy passage.  Exact copies are one class throughout.
 """
@@ -22,6 +30,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +45,8 @@ K, ONE_IN, NEAR, SPAN = 5, 6, 16, 39
 #: Links of a class's first text within its seed: to those before it, and to the smallest ids.
 BEFORE, SMALLEST = 2, 2
 GAP = 0.1
+#: Words by which what matches may stand nearer to a seed in one text than in the other, in its window.
+DRIFT = 24
 PASSAGES = "doc_id long, other_id long, start int, end int, other_start int, other_end int, n_match int"
 
 
@@ -275,7 +286,7 @@ def passages(a: list[bytes], b: list[bytes], hash_a: np.ndarray, hash_b: np.ndar
     return out
 
 
-def repeated_passages(docs: DataFrame, least: int = 50, likeness: float = 0.8, every: bool = False) -> DataFrame:
+def repeated_passages(docs: DataFrame, least: int = 50, likeness: float = 0.8, every: bool = False, leaders: bool = False) -> DataFrame:
     """Rows (doc_id, other_id, start, end, other_start, other_end, n_match): words of doc_id that stand in other_id too.
 
     Texts with the same words are one class under its smallest doc_id.  Every other row of the class gives one row
@@ -284,7 +295,8 @@ def repeated_passages(docs: DataFrame, least: int = 50, likeness: float = 0.8, e
     The rows do not depend on how ``docs`` is partitioned.
 
     With ``every``, the first texts of a seed's classes are linked each with all others, not with four: no pair of them is
-    dropped, at a cost that grows with the square of a seed's classes.
+    dropped, at a cost that grows with the square of a seed's classes.  With ``leaders``, they meet all others by their
+    windows, and those that one of them leads are not expanded into pairs: each has its row with the leader.
 
     Null, empty and short texts have no passages.  Rows without an id are left out, as a row here is a pair of ids;
     rows that share an id are one document if their words are the same, and else each is read under that id.
@@ -301,19 +313,29 @@ def repeated_passages(docs: DataFrame, least: int = 50, likeness: float = 0.8, e
 
     held = rows.select("doc_id", "part", F.explode(F.arrays_zip("seed", "context", "at", "folded")).alias("x")).select(F.col("x.seed").alias("seed"), F.col("x.context").alias("context"), "part", "doc_id", F.col("x.at").alias("at"), F.col("x.folded").alias("folded"))
     order = ["seed", "context", "doc_id", "at", "part"]
-    followed, followed_path = saved_at(held.repartition("seed").sortWithinPartitions(*order).mapInArrow(_follow_all if every else _follow, FOLLOWED), "seed-links")
+    followed, followed_path = saved_at(held.repartition("seed").sortWithinPartitions(*order).mapInArrow(_follow_firsts if leaders else _follow_all if every else _follow, FOLLOWED), "seed-links")
     fold = ["seed", "context", "part"]
     members = rows.select("part", "doc_id", F.explode(F.arrays_zip("near_seed", "near_context", "near_at", "near_first", "near_first_at")).alias("x"))
     members = members.select(F.col("x.near_seed").alias("seed"), F.col("x.near_context").alias("context"), "part", "doc_id", F.col("x.near_at").alias("at"), F.col("x.near_first").alias("first"), F.col("x.near_first_at").alias("first_at"))
-    unfolded = followed.filter("seed is not null").select(*fold, "other_id", "other_at")
+    unfolded = followed.filter("seed is not null and alike is null").select(*fold, "other_id", "other_at")
     near = members.join(unfolded, fold, "left").select("doc_id", "at", F.coalesce("other_id", "first").alias("other_id"), F.coalesce("other_at", "first_at").alias("other_at"), F.lit(True).alias("alike"))
     links = followed.filter("seed is null").select("doc_id", "at", "other_id", "other_at", "alike").union(near).filter("doc_id <> other_id")
-    # one entry a seed that both texts hold
-    met = links.groupBy("doc_id", "other_id").agg(F.max("alike").alias("alike"), F.collect_list(F.struct("at", "other_at")).alias("links")).filter("alike or size(links) > 1")
-    pairs = met.filter("alike").select("doc_id", "other_id").union(met.filter("not alike").select("doc_id", "other_id", F.array_sort("links").alias("links")).mapInArrow(_collinear, "doc_id long, other_id long"))
+    if leaders:
+        firsts = followed.filter("seed is not null and alike is not null").groupBy("doc_id").agg(F.collect_list(F.struct("seed", "at")).alias("x"))
+        windows = firsts.hint("merge").join(rows.select("doc_id", "codes"), "doc_id").mapInArrow(partial(_windows, least=least), WINDOWS)
+        led, led_path = saved_at(windows.repartition("seed").sortWithinPartitions("seed", "doc_id", "at").mapInArrow(partial(_meet, least=least, likeness=likeness), LED), "passage-leaders")
+        pairs = links.select("doc_id", "other_id").union(led.select("doc_id", "other_id")).distinct()
+    else:
+        # one entry a seed that both texts hold
+        met = links.groupBy("doc_id", "other_id").agg(F.max("alike").alias("alike"), F.collect_list(F.struct("at", "other_at")).alias("links")).filter("alike or size(links) > 1")
+        pairs = met.filter("alike").select("doc_id", "other_id").union(met.filter("not alike").select("doc_id", "other_id", F.array_sort("links").alias("links")).mapInArrow(_collinear, "doc_id long, other_id long"))
     low = copies.select(F.col("doc_id").alias("other_id"), "low").distinct()
-    pairs = pairs.join(copies.select("doc_id"), "doc_id", "left_anti").join(low, "other_id", "left").select("doc_id", F.coalesce("low", "other_id").alias("other_id")).filter("doc_id <> other_id")
-    pairs, _ = saved_at(pairs.select(F.greatest("doc_id", "other_id").alias("doc_id"), F.least("doc_id", "other_id").alias("other_id")).distinct(), "passage-pairs")
+
+    def between_classes(pairs: DataFrame) -> DataFrame:
+        pairs = pairs.join(copies.select("doc_id"), "doc_id", "left_anti").join(low, "other_id", "left").select("doc_id", F.coalesce("low", "other_id").alias("other_id")).filter("doc_id <> other_id")
+        return pairs.select(F.greatest("doc_id", "other_id").alias("doc_id"), F.least("doc_id", "other_id").alias("other_id")).distinct()
+
+    pairs, _ = saved_at(between_classes(pairs), "passage-pairs")
     for path in (rows_path, followed_path):
         discard(spark, path)
 
@@ -333,25 +355,41 @@ def repeated_passages(docs: DataFrame, least: int = 50, likeness: float = 0.8, e
             kinds = (pa.int64(),) * 2 + (pa.int32(),) * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=[x.split()[0] for x in PASSAGES.split(", ")])
 
-    # merged at every size: no side is small for long, and large keys of other_id can be split
-    with_doc = pairs.hint("merge").join(texts, "doc_id")
-    with_both = with_doc.hint("merge").join(texts.select(F.col("doc_id").alias("other_id"), F.col("text").alias("other")), "other_id").select("doc_id", "other_id", "text", "other")
-    return with_both.mapInArrow(compare, PASSAGES).distinct().union(whole.distinct())
+    def compared(pairs: DataFrame) -> DataFrame:
+        # only texts of pairs move; merged at every size: no side is small for long, and large keys of other_id can be split
+        needed = lambda c: texts.join(pairs.select(F.col(c).alias("doc_id")).distinct(), "doc_id", "left_semi")
+        with_doc = pairs.hint("merge").join(needed("doc_id"), "doc_id")
+        with_both = with_doc.hint("merge").join(needed("other_id").select(F.col("doc_id").alias("other_id"), F.col("text").alias("other")), "other_id").select("doc_id", "other_id", "text", "other")
+        return with_both.mapInArrow(compare, PASSAGES).distinct()
+
+    if not leaders:
+        return compared(pairs).union(whole.distinct())
+    found, _ = saved_at(compared(pairs), "passages")
+    led = led.filter("seed is not null")
+    there = F.expr(f"at >= start and at + {K} <= end and led_at >= other_start and led_at + {K} <= other_end and abs(at - start - led_at + other_start) <= {DRIFT}")
+    spans = found.select("doc_id", "other_id", "start", "end", "other_start", "other_end")
+    held = led.withColumnRenamed("other_at", "led_at").join(spans, ["doc_id", "other_id"]).filter(there).select("seed", "doc_id", "other_id").distinct()
+    alone = led.join(held, ["seed", "doc_id", "other_id"], "left_anti").select("seed", "other_id", "doc_id")
+    rest = alone.join(led.select("seed", "other_id", F.col("doc_id").alias("mate")), ["seed", "other_id"]).filter("doc_id <> mate").select("doc_id", F.col("mate").alias("other_id")).distinct()
+    rest, _ = saved_at(between_classes(rest).join(pairs, ["doc_id", "other_id"], "left_anti"), "passage-pairs-unled")
+    discard(spark, led_path)
+    return found.union(compared(rest)).union(whole.distinct())
 
 
 PREPARED = (
-    "doc_id long, part long, digest binary, n_words int, seed array<long>, context array<int>, at array<int>, folded array<boolean>, "
+    "doc_id long, part long, digest binary, codes binary, n_words int, seed array<long>, context array<int>, at array<int>, folded array<boolean>, "
     "near_seed array<long>, near_context array<int>, near_at array<int>, near_first array<long>, near_first_at array<int>"
 )
 
 
 def _prepare(batches: Iterator[pa.RecordBatch], most_docs: int = 4096, most_words: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """A row a text: its part (the texts at hand), digest, and seeds in two lists: those of which it is the first at hand
-    (and whether others at hand fold into it), and those that fold into another (with that id and its place there)."""
+    (and whether others at hand fold into it), and those that fold into another (with that id and its place there); and a
+    byte a word, never 0."""
     import hashlib
     import uuid
 
-    ids, digests, sizes, seeds, words_held = [], [], [], [], 0
+    ids, digests, codes, sizes, seeds, words_held = [], [], [], [], [], 0
 
     def flush() -> pa.RecordBatch:
         n, part = len(ids), uuid.uuid4().int >> 65
@@ -375,7 +413,7 @@ def _prepare(batches: Iterator[pa.RecordBatch], most_docs: int = 4096, most_word
             return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(v[which])) for v in values]
 
         return pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array([part] * n, pa.int64()), pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), *lists(own, seed, context, at, folded), *lists(~own, seed, context, at, first, first_at)],
+            [pa.array(ids, pa.int64()), pa.array([part] * n, pa.int64()), pa.array(digests, pa.binary()), pa.array(codes, pa.binary()), pa.array(sizes, pa.int32()), *lists(own, seed, context, at, folded), *lists(~own, seed, context, at, first, first_at)],
             names=[x.split()[0] for x in PREPARED.split(", ")],
         )
 
@@ -385,16 +423,19 @@ def _prepare(batches: Iterator[pa.RecordBatch], most_docs: int = 4096, most_word
             ids.append(doc_id)
             digests.append(hashlib.md5(b" ".join(words)).digest())
             sizes.append(len(words))
-            seeds.append(seeds_of(hash_words(words)))
+            hashes = hash_words(words)
+            codes.append(((hashes >> np.uint64(13)) % np.uint64(255) + np.uint64(1)).astype(np.uint8).tobytes())
+            seeds.append(seeds_of(hashes))
             words_held += len(words)
             if len(ids) >= most_docs or words_held >= most_words:
                 yield flush()
-                ids, digests, sizes, seeds, words_held = [], [], [], [], 0
+                ids, digests, codes, sizes, seeds, words_held = [], [], [], [], [], 0
     if ids:
         yield flush()
 
 
-#: A link (seed null), or what a fold's first is linked to in turn (seed, context and part of the fold).
+#: A link (seed null), what a fold's first is linked to in turn (seed, context and part of the fold; alike null), or, for
+#: leaders, the first text of a class of a seed that has several (seed and alike are there).
 FOLLOWED = "seed long, context int, part long, doc_id long, at int, other_id long, other_at int, alike boolean"
 
 
@@ -443,17 +484,29 @@ def _follow_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return _follow(batches, every=True)
 
 
-def _follow(batches: Iterator[pa.RecordBatch], most: int = 65_536, every: bool = False) -> Iterator[pa.RecordBatch]:
+def _follow_firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _follow(batches, every=True, firsts_alone=True)
+
+
+def _follow(batches: Iterator[pa.RecordBatch], most: int = 65_536, every: bool = False, firsts_alone: bool = False) -> Iterator[pa.RecordBatch]:
     """Links of rows (seed, context, part, doc_id, at, folded) in order of seed, context and id; a seed may span batches.
 
     The first texts of a seed's classes are held until the seed ends; beyond ``most`` of them, those at hand are linked
-    and the ones that later classes link to are held on.  For ``every`` link all are held, and each meets all others.
+    and the ones that later classes link to are held on.  For ``every`` link all are held, and each meets all others;
+    with ``firsts_alone`` they are given as they are, if their seed has several.
     """
     names = [x.split()[0] for x in FOLLOWED.split(", ")]
     last, head = None, (0, 0)
     held = np.zeros((3, 0), np.int64)  # seed, id, place of classes' first texts
 
     def linked(firsts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if firsts_alone:
+            new = np.concatenate([[True], firsts[0, 1:] != firsts[0, :-1]])
+            size = np.diff(np.append(np.flatnonzero(new), firsts.shape[1]))
+            seed, doc, at = firsts[:, np.repeat(size > 1, size)]
+            n = len(seed)
+            yield pa.RecordBatch.from_arrays([pa.array(seed), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.array(doc), pa.array(at.astype(np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.array(np.zeros(n, bool))], names=names)
+            return
         for i, j in _all_pairs(firsts[0], firsts[1]) if every else [_neighbours(firsts[0], firsts[1])]:
             n = len(i)
             yield pa.RecordBatch.from_arrays(
@@ -496,6 +549,170 @@ def _follow(batches: Iterator[pa.RecordBatch], most: int = 65_536, every: bool =
         yield from linked(held)
 
 
+WINDOWS = "seed long, doc_id long, at int, window binary"
+#: A text and its leader at a seed, or two texts of different leaders (seed null).
+LED = "seed long, doc_id long, at int, other_id long, other_at int"
+
+
+def _reach(least: int) -> int:
+    """Words of a window on each side of its seed: all of a part of less than twice ``least`` words, in eights."""
+    return max(8, -(-(2 * least - 1 - K) // 8) * 8)
+
+
+def window(codes: np.ndarray, at: int, reach: int) -> np.ndarray:
+    """Codes of the ``reach`` words before the seed at ``at`` and of those after it; 0 beyond the text."""
+    out = np.zeros(2 * reach, np.uint8)
+    left, right = codes[max(0, at - reach) : at], codes[at + K : at + K + reach]
+    out[reach - len(left) : reach] = left
+    out[reach : reach + len(right)] = right
+    return out
+
+
+def _windows(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    reach = _reach(least)
+    for batch in batches:
+        out: tuple[list, list, list, list] = ([], [], [], [])
+        for doc_id, firsts, codes in zip(*(batch.column(c) for c in ("doc_id", "x", "codes"))):
+            codes = np.frombuffer(codes.as_py(), np.uint8)
+            for seed, at in zip(*(x.to_pylist() for x in firsts.values.flatten())):
+                for held, value in zip(out, (seed, doc_id.as_py(), at, window(codes, at, reach).tobytes())):
+                    held.append(value)
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
+        for low in range(0, len(out[0]) or 1, 10_000):
+            yield pa.RecordBatch.from_arrays([pa.array(held[low : low + 10_000], t) for held, t in zip(out, kinds)], names=["seed", "doc_id", "at", "window"])
+
+
+class _Bound:
+    """Whether the windows of two texts leave room for ``least`` words around their seed, ``likeness`` of them matched.
+
+    A word matches at most if its code stands on the same side of the other's seed, at most ``DRIFT`` words nearer or farther.
+    """
+
+    def __init__(self, least: int, likeness: float):
+        self.reach, self.slack = _reach(least), 1 - likeness
+        self.row = np.arange(2 * self.reach) * 256
+        self.need = np.maximum(0, least - K - np.arange(self.reach + 1))  # words to the right, for so many to the left
+        eights = np.arange(self.reach // 8 + 1)
+        self.need_eights = np.minimum(len(eights) - 1, np.maximum(0, -(-(least - K - 14) // 8) - eights))
+        self.need = np.minimum(self.reach, self.need)
+
+    def _least_cost(self, left: np.ndarray, right: np.ndarray, need: np.ndarray) -> np.ndarray:
+        zero = np.zeros((len(left), 1), np.float32)
+        left, right = (np.concatenate([zero, np.cumsum(x, 1, dtype=np.float32)], 1) for x in (left, right))
+        beyond = np.minimum.accumulate(right[:, ::-1], 1)[:, ::-1]
+        return (left + beyond[:, need]).min(1)
+
+    def _admits(self, hit: np.ndarray, a: np.ndarray) -> np.ndarray:
+        """By eights of words first, where up to seven more words a side cost nothing; then word by word."""
+        reach, slack = self.reach, np.float32(self.slack)
+        missed = np.float32(8) - np.bitwise_count(hit.view(np.uint64)) - 8 * slack
+        e = reach // 8
+        out = self._least_cost(missed[:, e - 1 :: -1], missed[:, e:], self.need_eights) <= (14 + K) * slack + 1e-3
+        some = np.flatnonzero(out)
+        cost = np.where(hit[some], -slack, 1 - slack)
+        cost[a[some] == 0] = 1000
+        out[some] = self._least_cost(cost[:, reach - 1 :: -1], cost[:, reach:], self.need) <= K * slack + 1e-3
+        return out
+
+    def pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """For each row of a and the same of b."""
+        out, reach = np.zeros(len(a), bool), self.reach
+        for low in range(0, len(a), 1024):
+            x, y = a[low : low + 1024], b[low : low + 1024]
+            hit = x == y
+            for side in (slice(0, reach), slice(reach, 2 * reach)):
+                h, p, q = hit[:, side], x[:, side], y[:, side]
+                for s in range(1, min(DRIFT, reach - 1) + 1):
+                    h[:, s:] |= p[:, s:] == q[:, :-s]
+                    h[:, :-s] |= p[:, :-s] == q[:, s:]
+            out[low : low + 1024] = self._admits(hit, x)
+        return out
+
+    def one(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """For each row of a and the one window b."""
+        near = np.zeros((2 * self.reach, 256), bool)
+        for side in (0, self.reach):
+            n = np.arange(self.reach)
+            for s in range(-DRIFT, DRIFT + 1):
+                at = n[max(0, -s) : self.reach - max(0, s)]
+                near[side + at + s, b[side + at]] = True
+        near[:, 0] = False
+        flat, out = near.reshape(-1), np.zeros(len(a), bool)
+        for low in range(0, len(a), 512):
+            x = a[low : low + 512]
+            out[low : low + 512] = self._admits(flat[x + self.row], x)
+        return out
+
+
+def led(group: np.ndarray, doc: np.ndarray, windows: np.ndarray, bound: _Bound, small: int = 16) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each row's leader (its own, if it leads), and the pairs of rows (i, j) of different leaders that the bound
+    admits.  Rows are in order of group and id."""
+    lead, cross = np.full(len(group), -1), [np.zeros((0, 2), np.int64)]
+    starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+    size = np.diff(np.append(starts, len(group)))
+    few = np.flatnonzero(np.repeat(size <= small, size))
+    pairs = [np.zeros((2, 0), np.int64)]
+    for i, j in _all_pairs(group[few], doc[few], 100_000):
+        i, j = few[np.maximum(i, j)], few[np.minimum(i, j)]
+        ok = bound.pairs(windows[i], windows[j])
+        pairs.append(np.stack([i[ok], j[ok]]))
+    i, j = np.concatenate(pairs, axis=1)
+    order = np.lexsort((i, j))
+    for i, j in zip(i[order].tolist(), j[order].tolist()):
+        if lead[j] < 0:
+            lead[j] = j
+        if lead[j] == j and lead[i] < 0:
+            lead[i] = j
+        elif lead[i] != lead[j]:
+            cross.append(np.array([[i, j]]))
+    for start, n in zip(starts[size > small].tolist(), size[size > small].tolist()):
+        for j in range(start, start + n - 1):
+            leads = lead[j] < 0
+            if leads:
+                lead[j] = j
+            rest = np.arange(j + 1, start + n)
+            others = lead[rest] != lead[j]
+            rest = rest[others]
+            ok = rest[bound.one(windows[rest] if not others.all() else windows[j + 1 : start + n], windows[j])]
+            if leads:
+                new = lead[ok] < 0
+                lead[ok[new]] = j
+                ok = ok[~new]
+            cross.append(np.stack([ok, np.full(len(ok), j)], axis=1))
+    alone = lead < 0
+    lead[alone] = np.flatnonzero(alone)
+    return lead, np.concatenate(cross)
+
+
+def _meet(batches: Iterator[pa.RecordBatch], least: int, likeness: float, most: int = 50_000) -> Iterator[pa.RecordBatch]:
+    """Rows of ``LED`` from those of ``WINDOWS`` in order of seed and id; a seed may span batches, and is held whole."""
+    bound, names = _Bound(least, likeness), [x.split()[0] for x in LED.split(", ")]
+
+    def met(seed: np.ndarray, doc: np.ndarray, at: np.ndarray, windows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        lead, cross = led(seed, doc, windows, bound)
+        i = np.flatnonzero(doc != doc[lead])
+        yield pa.RecordBatch.from_arrays([pa.array(seed[i]), pa.array(doc[i]), pa.array(at[i]), pa.array(doc[lead[i]]), pa.array(at[lead[i]])], names=names)
+        ids = np.unique(np.stack([doc[cross[:, 0]], doc[cross[:, 1]]]), axis=1) if len(cross) else np.zeros((2, 0), np.int64)
+        n, ids = 0, ids[:, ids[0] != ids[1]]
+        n = ids.shape[1]
+        yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.array(ids[0]), pa.nulls(n, pa.int32()), pa.array(ids[1]), pa.nulls(n, pa.int32())], names=names)
+
+    held, count = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        seed, doc, at = (batch.column(c).to_numpy() for c in range(3))
+        held.append((seed, doc, at, np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(len(seed), -1)))
+        count += len(seed)
+        if count >= most and seed[0] != seed[-1]:
+            whole = [np.concatenate(x) for x in zip(*held)]
+            end = int(np.searchsorted(whole[0], whole[0][-1], "left"))
+            yield from met(*(x[:end] for x in whole))
+            held, count = [tuple(x[end:] for x in whole)], len(whole[0]) - end
+    if count:
+        yield from met(*(np.concatenate(x) for x in zip(*held)))
+
+
 def collinear(links: list[tuple[int, int]], reach: int = 128, ahead: int = 16) -> bool:
     """Whether two links, in order of place, are some words on in both texts by about as much."""
     for n, (x, y) in enumerate(links):
@@ -514,4 +731,4 @@ def _collinear(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_passages(table(spark, sf_dir, "documents"), every=True)
+    return repeated_passages(table(spark, sf_dir, "documents"), leaders=True)

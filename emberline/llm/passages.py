@@ -592,6 +592,10 @@ class _Bound:
         self.reach, self.slack = _reach(least), 1 - likeness
         self.row = np.arange(2 * self.reach) * 256
         self.need = np.maximum(0, least - K - np.arange(self.reach + 1))  # words to the right, for so many to the left
+        at = np.arange(2 * self.reach)
+        off = at[:, None] + np.arange(-DRIFT, DRIFT + 1)[None, :]
+        same = (off >= 0) & (off // self.reach == at[:, None] // self.reach)
+        self.there, self.from_ = off[same], np.repeat(at, same.sum(1))  # places, and the words of b that may stand there
         eights = np.arange(self.reach // 8 + 1)
         self.need_eights = np.minimum(len(eights) - 1, np.maximum(0, -(-(least - K - 14) // 8) - eights))
         self.need = np.minimum(self.reach, self.need)
@@ -614,6 +618,44 @@ class _Bound:
         out[some] = self._least_cost(cost[:, reach - 1 :: -1], cost[:, reach:], self.need) <= K * slack + 1e-3
         return out
 
+    def sets(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each eight words of the windows the set of their codes, four words of bits, and how many lie beyond the text."""
+        n, eights = len(windows), 2 * self.reach // 8
+        out = np.zeros((eights, 4, n), np.uint64)
+        row, e = np.arange(n)[:, None], np.arange(eights)[None, :]
+        for x in range(8):
+            code = windows[:, x::8]
+            out[e, code >> 6, row] |= np.where(code > 0, np.uint64(1) << (code & 63).astype(np.uint64), np.uint64(0))
+        beyond = np.ascontiguousarray((windows == 0).reshape(n, eights, 8).sum(2, dtype=np.uint8).T)
+        return out, beyond
+
+    def near(self, sets: np.ndarray) -> np.ndarray:
+        """The codes of each eight words and of those ``DRIFT`` words off on the same side."""
+        half, near = self.reach // 8, sets.copy()
+        for side in (slice(0, half), slice(half, 2 * half)):
+            own, out = sets[side], near[side]
+            for s in range(1, min(half - 1, -(-DRIFT // 8)) + 1):
+                out[s:] |= own[:-s]
+                out[:-s] |= own[s:]
+        return near
+
+    def may(self, sets: np.ndarray, beyond: np.ndarray, near: np.ndarray) -> np.ndarray:
+        """By eights of words alone: for each column of ``sets``, and the same of ``near``, or its only one."""
+        half = self.reach // 8
+        # a code that is missing is one word at least that matches nothing
+        missed = np.bitwise_count(sets & ~near).sum(1, dtype=np.uint8) + beyond
+        cost = missed.astype(np.float32) - np.float32(8 * self.slack)
+        left, right = [np.zeros(sets.shape[2], np.float32)], [np.zeros(sets.shape[2], np.float32)]
+        for e in range(half):
+            left.append(left[-1] + cost[half - 1 - e])
+            right.append(right[-1] + cost[half + e])
+        for e in range(half - 1, -1, -1):
+            right[e] = np.minimum(right[e], right[e + 1])
+        best = left[0] + right[self.need_eights[0]]
+        for e in range(1, half + 1):
+            np.minimum(best, left[e] + right[self.need_eights[e]], out=best)
+        return best <= (14 + K) * self.slack + 1e-3
+
     def pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """For each row of a and the same of b."""
         out, reach = np.zeros(len(a), bool), self.reach
@@ -631,11 +673,7 @@ class _Bound:
     def one(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """For each row of a and the one window b."""
         near = np.zeros((2 * self.reach, 256), bool)
-        for side in (0, self.reach):
-            n = np.arange(self.reach)
-            for s in range(-DRIFT, DRIFT + 1):
-                at = n[max(0, -s) : self.reach - max(0, s)]
-                near[side + at + s, b[side + at]] = True
+        near[self.there, b[self.from_]] = True
         near[:, 0] = False
         flat, out = near.reshape(-1), np.zeros(len(a), bool)
         for low in range(0, len(a), 512):
@@ -644,7 +682,7 @@ class _Bound:
         return out
 
 
-def led(group: np.ndarray, doc: np.ndarray, windows: np.ndarray, bound: _Bound, small: int = 16) -> tuple[np.ndarray, np.ndarray]:
+def led(group: np.ndarray, doc: np.ndarray, windows: np.ndarray, bound: _Bound, small: int = 64) -> tuple[np.ndarray, np.ndarray]:
     """The number of each row's leader (its own, if it leads), and the pairs of rows (i, j) of different leaders that the bound
     admits.  Rows are in order of group and id."""
     lead, cross = np.full(len(group), -1), [np.zeros((0, 2), np.int64)]
@@ -652,8 +690,12 @@ def led(group: np.ndarray, doc: np.ndarray, windows: np.ndarray, bound: _Bound,
     size = np.diff(np.append(starts, len(group)))
     few = np.flatnonzero(np.repeat(size <= small, size))
     pairs = [np.zeros((2, 0), np.int64)]
-    for i, j in _all_pairs(group[few], doc[few], 100_000):
-        i, j = few[np.maximum(i, j)], few[np.minimum(i, j)]
+    sets, beyond = bound.sets(windows[few])
+    near = bound.near(sets)
+    for i, j in _all_pairs(group[few], doc[few], 4096):
+        i, j = np.maximum(i, j), np.minimum(i, j)
+        some = bound.may(sets[:, :, i], beyond[:, i], near[:, :, j])
+        i, j = few[i[some]], few[j[some]]
         ok = bound.pairs(windows[i], windows[j])
         pairs.append(np.stack([i[ok], j[ok]]))
     i, j = np.concatenate(pairs, axis=1)
@@ -666,14 +708,20 @@ def led(group: np.ndarray, doc: np.ndarray, windows: np.ndarray, bound: _Bound,
         elif lead[i] != lead[j]:
             cross.append(np.array([[i, j]]))
     for start, n in zip(starts[size > small].tolist(), size[size > small].tolist()):
+        sets, beyond = bound.sets(windows[start : start + n])
+        own = lambda j, start=start, sets=sets: bound.near(sets[:, :, j - start, None])
         for j in range(start, start + n - 1):
             leads = lead[j] < 0
             if leads:
                 lead[j] = j
             rest = np.arange(j + 1, start + n)
             others = lead[rest] != lead[j]
-            rest = rest[others]
-            ok = rest[bound.one(windows[rest] if not others.all() else windows[j + 1 : start + n], windows[j])]
+            if 4 * np.count_nonzero(others) > len(rest):
+                rest = rest[bound.may(sets[:, :, j + 1 - start :], beyond[:, j + 1 - start :], own(j)) & others]
+            else:
+                rest = rest[others]
+                rest = rest[bound.may(sets[:, :, rest - start], beyond[:, rest - start], own(j))]
+            ok = rest[bound.one(windows[rest], windows[j])] if len(rest) else rest
             if leads:
                 new = lead[ok] < 0
                 lead[ok[new]] = j

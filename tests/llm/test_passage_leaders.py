@@ -65,3 +65,26 @@ def test_the_bound_admits_every_passage_around_its_seed():
     assert bound.pairs(a, b).all() and all(bound.one(x[None], y)[0] for x, y in zip(a, b))
     other = np.roll(b, 1, axis=0)
     assert (bound.pairs(a, other) == [bound.one(x[None], y)[0] for x, y in zip(a, other)]).all() and bound.pairs(a, other).mean() < 0.2
+    sets, beyond = bound.sets(a)
+    near = bound.near(bound.sets(b)[0])
+    assert bound.may(sets, beyond, near).all()
+    for k in range(400):
+        may = bound.may(sets, beyond, near[:, :, k, None])
+        assert may[k] and may[bound.one(a, b[k])].all()
+
+
+def test_leaders_do_not_depend_on_how_groups_are_met():
+    r = random.Random(24)
+    bound, line = P._Bound(50, 0.8), np.array([r.randrange(1, 256) for _ in range(192)], np.uint8)
+    rows = []
+    for k in range(60):
+        w = np.array([r.randrange(1, 256) for _ in range(192)], np.uint8)
+        keep = 96 if k % 3 else 20  # a third share twenty words alone
+        w[96 - keep : 96 + keep] = line[96 - keep : 96 + keep]
+        edits = [r.randrange(192) for _ in range(r.choice((0, 10, 30, 45)))]
+        w[edits] = [r.randrange(1, 256) for _ in edits]
+        rows.append(w)
+    group, doc, windows = np.zeros(60, np.int64), np.arange(60), np.stack(rows)
+    one, other = P.led(group, doc, windows, bound, small=100), P.led(group, doc, windows, bound, small=1)
+    assert (one[0] == other[0]).all() and sorted(map(tuple, one[1].tolist())) == sorted(map(tuple, other[1].tolist()))
+    assert 1 < len(set(one[0].tolist())) < 60

@@ -54,12 +54,14 @@ def hash_words(words: list[bytes]) -> np.ndarray:
 
 def grams(hashes: np.ndarray, k: int) -> np.ndarray:
     """Hash of each k consecutive word hashes; empty if there are fewer."""
-    n = len(hashes) - k + 1
-    if n < 1:
+    if len(hashes) < k:
         return np.zeros(0, np.uint64)
-    out = np.zeros(n, np.uint64)
-    for j in range(k):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + hashes[j : j + n]
+    step = 0x9E3779B97F4A7C15
+    out, n = hashes.copy(), 1  # of n words each: twice as many from two neighbours, one more from the word behind
+    for bit in f"{k:b}"[1:]:
+        out, n = out[:-n] * np.uint64(pow(step, n, 1 << 64)) + out[n:], 2 * n
+        if bit == "1":
+            out, n = out[:-1] * np.uint64(step) + hashes[n : n + len(out) - 1], n + 1
     out ^= out >> np.uint64(31)
     out *= np.uint64(0xBF58476D1CE4E5B9)
     return out ^ out >> np.uint64(29)

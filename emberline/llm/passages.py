@@ -20,6 +20,7 @@ Of the others the smallest id leads, and those that meet no leader before lead i
 and with all others that the bound admits and that have another leader.  Where a text and its leader share no passage at the
 seed, the text is compared with all others of that leader.  So two texts of one leader are either compared, or stand
 both in a passage with their leader there: near copies give rows in proportion to their number, not its square.
+Classes of one seed agree on ``least`` words here.  Large groups look for rows that share neighbouring words (``_Twos``) first.
 
 In the plain form two texts are compared if they are of one class of a seed, or if two links of theirs are collinear.  All their shared
 k-mers become anchors, which a Fenwick tree chains in order in both texts under a linear gap cost; a chain is aligned
@@ -29,16 +30,17 @@ word by word, between its anchors and outward from its ends, into a fuzzy passag
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import discard, saved_at, small_batches, table
-from .decontamination import grams, hash_words
+from .decontamination import FILTER_BITS, bloom, grams, hash_words
 
 #: Words of a seed, one of how many k-mers is a seed, and the words after a seed's start that its context hashes.
 K, ONE_IN, NEAR, SPAN = 5, 6, 16, 39
@@ -55,7 +57,7 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
-def seeds_of(hashes: np.ndarray, k: int = K, one_in: int = ONE_IN, gap: int = 32) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def seeds_of(hashes: np.ndarray, k: int = K, one_in: int = ONE_IN, gap: int = 32, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct seeds of a text as signed longs, the context that follows each (0 where it first stands), and that place."""
     h = grams(hashes, k)
     keep = h % np.uint64(one_in) == 0
@@ -67,8 +69,8 @@ def seeds_of(hashes: np.ndarray, k: int = K, one_in: int = ONE_IN, gap: int = 32
     at = np.flatnonzero(keep)
     at = np.sort(at[np.unique(h[at], return_index=True)[1]])
     # words past the end hash as a word of their own, so a text's end is a context too
-    padded = np.concatenate([hashes, np.zeros(SPAN, np.uint64)])
-    near, far = grams(padded, NEAR)[at], grams(padded, SPAN)[at]
+    padded = np.concatenate([hashes, np.zeros(span, np.uint64)])
+    near, far = grams(padded, NEAR)[at], grams(padded, span)[at]
     context = (near >> np.uint64(48) << np.uint64(16) | far >> np.uint64(48)).astype(np.uint32).view(np.int32)
     return h[at].view(np.int64), context, at
 
@@ -304,7 +306,8 @@ def repeated_passages(docs: DataFrame, least: int = 50, likeness: float = 0.8, e
     """
     spark = small_batches(docs).sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
-    rows, rows_path = saved_at(texts.mapInArrow(_prepare, PREPARED), "seeds")
+    # by leaders, texts of one class share a passage with its first text, not only so many words that it may be longer among them
+    rows, rows_path = saved_at(texts.mapInArrow(partial(_prepare, span=max(least, NEAR) if leaders else SPAN), PREPARED), "seeds")
     # copies: classes of digests are folded by part, so that a class of any size meets its smallest id in many tasks
     lows = rows.groupBy("digest").agg(F.min("doc_id").alias("low"), F.count("*").alias("members")).filter("members > 1").select("digest", "low")
     folds = rows.select("digest", "part").distinct().join(lows, "digest")
@@ -356,8 +359,10 @@ def repeated_passages(docs: DataFrame, least: int = 50, likeness: float = 0.8, e
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=[x.split()[0] for x in PASSAGES.split(", ")])
 
     def compared(pairs: DataFrame) -> DataFrame:
-        # only texts of pairs move; merged at every size: no side is small for long, and large keys of other_id can be split
-        needed = lambda c: texts.join(pairs.select(F.col(c).alias("doc_id")).distinct(), "doc_id", "left_semi")
+        # only texts of pairs move, the others stay behind a filter of fixed size; merged at every size: no side is small for
+        # long, and large keys of other_id can be split
+        some = texts.filter(among(pairs.select(F.explode(F.array("doc_id", "other_id")).alias("doc_id")))(F.xxhash64("doc_id")))
+        needed = lambda c: some.join(pairs.select(F.col(c).alias("doc_id")).distinct(), "doc_id", "left_semi")
         with_doc = pairs.hint("merge").join(needed("doc_id"), "doc_id")
         with_both = with_doc.hint("merge").join(needed("other_id").select(F.col("doc_id").alias("other_id"), F.col("text").alias("other")), "other_id").select("doc_id", "other_id", "text", "other")
         return with_both.mapInArrow(compare, PASSAGES).distinct()
@@ -376,13 +381,25 @@ def repeated_passages(docs: DataFrame, least: int = 50, likeness: float = 0.8, e
     return found.union(compared(rest)).union(whole.distinct())
 
 
+def among(ids: DataFrame):
+    """A function of ``xxhash64(doc_id)``: true for the rows of ``ids``, and for few others."""
+    shared = ids.sparkSession.sparkContext.broadcast(bloom(ids.select(F.array(F.xxhash64("doc_id")).alias("hashes"))))
+
+    @F.pandas_udf("boolean")
+    def held(hashes: pd.Series) -> pd.Series:
+        p = hashes.to_numpy().view(np.uint64) >> np.uint64(64 - FILTER_BITS)
+        return pd.Series((shared.value[p >> np.uint64(6)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool))
+
+    return held
+
+
 PREPARED = (
     "doc_id long, part long, digest binary, codes binary, n_words int, seed array<long>, context array<int>, at array<int>, folded array<boolean>, "
     "near_seed array<long>, near_context array<int>, near_at array<int>, near_first array<long>, near_first_at array<int>"
 )
 
 
-def _prepare(batches: Iterator[pa.RecordBatch], most_docs: int = 4096, most_words: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+def _prepare(batches: Iterator[pa.RecordBatch], most_docs: int = 4096, most_words: int = 2_000_000, span: int = SPAN) -> Iterator[pa.RecordBatch]:
     """A row a text: its part (the texts at hand), digest, and seeds in two lists: those of which it is the first at hand
     (and whether others at hand fold into it), and those that fold into another (with that id and its place there); and a
     byte a word, never 0."""
@@ -425,7 +442,7 @@ def _prepare(batches: Iterator[pa.RecordBatch], most_docs: int = 4096, most_word
             sizes.append(len(words))
             hashes = hash_words(words)
             codes.append(((hashes >> np.uint64(13)) % np.uint64(255) + np.uint64(1)).astype(np.uint8).tobytes())
-            seeds.append(seeds_of(hashes))
+            seeds.append(seeds_of(hashes, span=span))
             words_held += len(words)
             if len(ids) >= most_docs or words_held >= most_words:
                 yield flush()
@@ -682,9 +699,134 @@ class _Bound:
         return out
 
 
-def led(group: np.ndarray, doc: np.ndarray, windows: np.ndarray, bound: _Bound, small: int = 64) -> tuple[np.ndarray, np.ndarray]:
+class _Twos:
+    """Which rows of one large group share enough pairs of neighbouring words, by side, to hold a passage around their seed.
+
+    A passage of n words in either text, ``likeness`` of the longer side matched, matches in at most 1 + its unmatched words
+    runs, so at least (3 * likeness - 2) * n - 1 pairs of neighbours are shared.  The seed and its two edges hold 6 at most.
+    A row asks for its scarcer pairs alone: as many common ones are left out as leave it ``enough`` in every part.
+    """
+
+    EDGE = K + 1
+
+    def __init__(self, windows: np.ndarray, bound: _Bound, enough: int = 3):
+        self.n, self.reach, rate = len(windows), bound.reach, 3 * (1 - bound.slack) - 2
+        width = 2 * (self.reach - 1)
+        # each pair at its first place in a row, and at how many it stands there
+        self.pairs, self.times = np.full((self.n, width), -1, np.int32), np.zeros((self.n, width), np.uint8)
+        for low in range(0, self.n, 4096):
+            x = self._of(windows[low : low + 4096])
+            order = np.argsort(x, axis=1, kind="stable")
+            sorted_ = np.take_along_axis(x, order, 1).reshape(-1)
+            new = np.ones(len(sorted_), bool)
+            new[1:] = (sorted_[1:] != sorted_[:-1]) | (np.arange(1, len(sorted_)) % width == 0)
+            starts = np.flatnonzero(new)
+            at = (starts // width, order.reshape(-1)[starts])
+            self.pairs[low : low + 4096][at], self.times[low : low + 4096][at] = sorted_[starts], np.diff(np.append(starts, len(sorted_)))
+        self.holders = np.bincount(self.pairs[self.pairs >= 0], minlength=1 << 17)
+        self.most, self.least = np.full(self.n, -1), np.zeros(self.n, np.int64)  # 0: any row may hold one
+        levels = [max(1, self.n >> s) for s in range(10, -1, -1)]
+        for low in range(0, self.n, 4096):
+            x, beyond = self._of(windows[low : low + 4096]), windows[low : low + 4096] == 0
+            held, rest = np.where(x >= 0, self.holders[x], 0), np.arange(len(x))
+            for want, level in [(w, v) for w in (enough, 1) for v in levels]:
+                common = held[rest] > level
+                cost = np.full((len(rest), 2 * self.reach), rate, np.float32)
+                cost[:, : self.reach - 1] -= common[:, : self.reach - 1]
+                cost[:, self.reach + 1 :] -= common[:, self.reach - 1 :]
+                cost[beyond[rest]] = 1000
+                shared = np.ceil(bound._least_cost(cost[:, self.reach - 1 :: -1], cost[:, self.reach :], bound.need) + rate * K - 1 - self.EDGE - 1e-3)
+                ok = shared >= want
+                self.most[low + rest[ok]], self.least[low + rest[ok]] = level, shared[ok]
+                rest = rest[~ok]
+                if not len(rest):
+                    break
+
+    def _of(self, windows: np.ndarray) -> np.ndarray:
+        """The pairs of each row, by side; -1 beyond the text."""
+        w = windows.astype(np.int32).reshape(-1, 2, self.reach)
+        x = w[:, :, :-1] << 8 | w[:, :, 1:] | np.array([0, 1 << 16], np.int32)[None, :, None]
+        return np.where((w[:, :, :-1] > 0) & (w[:, :, 1:] > 0), x, -1).reshape(len(w), -1)
+
+    def index(self, order: np.ndarray) -> None:
+        """Rows by pair, in this order, in which they are walked from here on."""
+        by_pair = np.argsort(self.pairs[order].reshape(-1), kind="stable")[-int(self.holders.sum()) or self.pairs.size :]
+        self.rows = (by_pair // self.pairs.shape[1]).astype(np.int32)
+        self.ends = np.cumsum(self.holders)
+        self.starts = self.ends - self.holders
+        self.walked = self.starts.copy()
+
+    def walk(self, rows: np.ndarray) -> None:
+        for row in rows:
+            x = self.pairs[row]
+            self.walked[x[x >= 0]] += 1
+
+    def ask(self, row: int, ranges: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], first: int) -> np.ndarray | None:
+        """Places from ``first`` on in the order walked whose rows share enough of the row's pairs, as listed within ``ranges``; none if any may."""
+        if not self.least[row]:
+            return None
+        x = self.pairs[row]
+        scarce = np.flatnonzero((x >= 0) & (self.holders[x] <= self.most[row]))
+        low, high = ranges(x[scarce])
+        size = high - low
+        total = int(size.sum())
+        if total > 16 * self.n:
+            return None
+        times = np.resize(self.times[row, scarce], len(size))
+        found = self.rows[np.arange(total) + np.repeat(low - np.cumsum(size) + size, size)]
+        shared = np.bincount(found, np.repeat(times, size) if (times > 1).any() else None, first)
+        return first + np.flatnonzero(shared[first:] >= self.least[row])
+
+
+def _led_by_twos(windows: np.ndarray, bound: _Bound) -> tuple[np.ndarray, np.ndarray]:
+    """``led`` for one large group."""
+    n, twos, cross = len(windows), _Twos(windows, bound), [np.zeros((0, 2), np.int64)]
+    lead, held = np.full(n, -1), []
+
+    def admitted(rows: np.ndarray, j: int) -> np.ndarray:
+        """Of ``rows`` those that the bound admits with j."""
+        if len(rows) > 1024:
+            if not held:
+                held.extend(bound.sets(windows))
+            rows = rows[bound.may(held[0][:, :, rows], held[1][:, rows], bound.near(held[0][:, :, j, None]))]
+        return rows[bound.one(windows[rows], windows[j])] if len(rows) else rows
+
+    twos.index(np.arange(n))
+    for j in range(n):
+        twos.walk([j])
+        if lead[j] >= 0:
+            continue
+        lead[j] = j
+        rows = twos.ask(j, lambda x: (twos.walked[x], twos.ends[x]), j + 1)
+        ok = admitted(np.arange(j + 1, n) if rows is None else rows, j)
+        new = lead[ok] < 0
+        lead[ok[new]] = j
+        cross.append(np.stack([ok[~new], np.full(np.count_nonzero(~new), j)], axis=1))
+    # those that are led meet what others lead: in order of leaders, so that their own leader's rows are stepped over
+    order = np.argsort(lead, kind="stable")
+    starts = np.flatnonzero(np.concatenate([[True], np.diff(lead[order]) > 0]))
+    size = np.diff(np.append(starts, n))
+    if (size > 1).any():
+        twos.index(order)
+    else:
+        starts = starts[:0]
+    for start, count in zip(starts.tolist(), size.tolist()):
+        before = twos.walked.copy() if count > 1 else None
+        rows = order[start : start + count]
+        twos.walk(rows)
+        for j in rows[rows != lead[rows[0]]].tolist():
+            ask = lambda x, before=before: (np.concatenate([twos.starts[x], twos.walked[x]]), np.concatenate([before[x], twos.ends[x]]))
+            places = twos.ask(j, ask, 0)
+            others = np.arange(j + 1, n) if places is None else order[places]
+            ok = admitted(others[(others > j) & (lead[others] != lead[j])], j)
+            cross.append(np.stack([ok, np.full(len(ok), j)], axis=1))
+    return lead, np.concatenate(cross)
+
+
+def led(group: np.ndarray, doc: np.ndarray, windows: np.ndarray, bound: _Bound, small: int = 64, large: int = 1024) -> tuple[np.ndarray, np.ndarray]:
     """The number of each row's leader (its own, if it leads), and the pairs of rows (i, j) of different leaders that the bound
-    admits.  Rows are in order of group and id."""
+    admits; in groups of more than ``large`` rows those of them that share the words of a passage two by two.  Rows are in
+    order of group and id."""
     lead, cross = np.full(len(group), -1), [np.zeros((0, 2), np.int64)]
     starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
     size = np.diff(np.append(starts, len(group)))
@@ -708,6 +850,11 @@ def led(group: np.ndarray, doc: np.ndarray, windows: np.ndarray, bound: _Bound,
         elif lead[i] != lead[j]:
             cross.append(np.array([[i, j]]))
     for start, n in zip(starts[size > small].tolist(), size[size > small].tolist()):
+        if n > large:
+            own_lead, own_cross = _led_by_twos(windows[start : start + n], bound)
+            lead[start : start + n] = start + own_lead
+            cross.append(start + own_cross)
+            continue
         sets, beyond = bound.sets(windows[start : start + n])
         own = lambda j, start=start, sets=sets: bound.near(sets[:, :, j - start, None])
         for j in range(start, start + n - 1):

@@ -267,3 +267,42 @@ def test_background_pairs_are_whole_and_few_more_are_looked_at(spark):
     assert got == want and len(got) > 10_000
     target, other = S.reach_sides(scenes, reach, 95.0)
     assert target.join(other, ["mgrs", "bucket"]).count() < 1.15 * len(got)
+
+
+def test_background_pairs_move_scenes_not_buckets(spark):
+    scenes = spark.range(3000).selectExpr("concat('s', id) as id", "concat('T', id % 3) as mgrs", "cast(id % 101 as double) as cloud_cover", "timestamp_seconds(id * 50000 - 40000000) as time")
+    pairs = S.background_candidates(scenes)
+    pairs.collect()
+    moved, todo = [], [pairs._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            node = node.executedPlan()
+        while node.nodeName().endswith("QueryStage"):
+            node = node.plan()
+        if node.nodeName() == "Exchange":
+            moved.append(node.metrics().apply("shuffleRecordsWritten").value())
+        todo += [node.children().apply(k) for k in range(node.children().size())]
+    assert 3000 <= sum(moved) <= 3.01 * 3000
+
+
+def test_background_pairs_equal_the_sql_on_odd_rows(spark, small, tmp_path):
+    """Scenes that repeat, without a tile or a date, and of batches of a few rows."""
+    import duckdb
+
+    from emberline import catalog
+
+    orders = spark.read.parquet(f"{small}/orders.parquet").filter("o_orderkey % 2 = 1")
+    odd = orders.filter("o_orderkey % 3 = 0").selectExpr(*[f"cast(null as {t}) as {c}" if c in ("o_custkey", "o_orderdate") else c for c, t in orders.dtypes])
+    orders.union(orders.filter("o_orderkey % 5 = 0")).union(odd).coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    duckdb.sql(f"CREATE OR REPLACE TEMP VIEW orders AS SELECT * FROM read_parquet('{tmp_path}/orders.parquet/*.parquet')")
+    want = sorted(duckdb.sql(catalog.ORACLE_SQL["background_candidates"]).fetchall())
+    assert sorted(map(tuple, catalog.QUERIES["background_candidates"](spark, str(tmp_path)).collect())) == want and len(want) > 1000
+    scenes = spark.createDataFrame([(k, "T", None, k * 40_000) for k in range(500)], "id long, mgrs string, cloud_cover double, t long").selectExpr("id", "mgrs", "coalesce(cloud_cover, 1) as cloud_cover", "timestamp_seconds(t) as time")
+    now = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+        got = sorted(map(tuple, S.background_candidates(scenes).collect()))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", now)
+    assert got == [(a, b, abs(a - b) * 40_000) for a in range(500) for b in range(500) if 0 < abs(a - b) * 40_000 <= 120 * 86400]
